@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, sample, split
+from corpusloom.llm import encode, mojibake, sample, split
 from corpusloom.runtime import read_table
 
 #: Rows of the fixed-size sample.
@@ -34,8 +34,16 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
+def p10_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.repair_texts(read_table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_repaired(spark, sf_dir).select("doc_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p5_sample, p7_pieces, p7_found, p8_ids)}
+    return {f.__name__: f for f in (p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
