@@ -132,10 +132,10 @@ def familiar_lists(df: DataFrame, text_column: str, scale: Scale) -> np.ndarray:
         documents = np.zeros(2 * TIERS, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                hashed, script, length = words_of(text)
-                tier = scale.tier(script, length)
-                if len(hashed) and tier >= 0:
-                    row = int(script) * TIERS + tier
+                hashed, script, lengths = words_of(text)
+                length = scale.length(script, lengths)
+                if len(hashed) and length is not None:
+                    row = int(script) * TIERS + scale.tier(script, length)
                     documents[row] += 1
                     total[(row << HASH_BITS) + np.unique(hashed)] += 1
         at = np.flatnonzero(total)
