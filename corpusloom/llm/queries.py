@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, level, mojibake, sample, split
+from corpusloom.llm import encode, level, mojibake, pairs, sample, split
 from corpusloom.runtime import read_table
 
 #: Rows of the fixed-size sample.
 SAMPLE_SIZE = 10_000
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defective_pairs(read_table(spark, sf_dir, "qa_pairs"))
+
+
 def p4_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return level.reading_levels(read_table(spark, sf_dir, "md_info"), read_table(spark, sf_dir, "level_anchors")).distinct()
 
@@ -51,7 +55,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_levels, p4_found, p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
+    return {f.__name__: f for f in (p3_found, p4_levels, p4_found, p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
