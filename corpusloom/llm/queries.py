@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, level, mojibake, pairs, sample, split
+from corpusloom.llm import encode, level, markup, mojibake, pairs, sample, split
 from corpusloom.runtime import read_table
 
 #: Rows of the fixed-size sample.
 SAMPLE_SIZE = 10_000
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.markup_families(read_table(spark, sf_dir, "md_info"))
+
+
+def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.clean_records(read_table(spark, sf_dir, "md_info").select("id", "text").dropDuplicates(["id"]))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.defective_pairs(read_table(spark, sf_dir, "qa_pairs"))
 
@@ -55,7 +63,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p4_levels, p4_found, p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
+    return {f.__name__: f for f in (p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
