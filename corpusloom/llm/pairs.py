@@ -45,6 +45,7 @@ COPY_RATE = 22
 _LABEL = r"(?:参考答案|标准答案|答案|解答|解析|解|答|回答|回复|answer|explanation|solution|response|reply|ans|a)"
 _FILLER = r"(?:略|无|暂无|空|待补充|待定|未知|没有|同上|n/?a|null|none|nil|tbd|todo|nan|undefined|empty|omitted|unknown|blank|see above|no answer|ok|好的|嗯|呃)"
 _EMPTY = re.compile(rf"(?:{_LABEL}|{_FILLER})+", re.I)
+_LETTERS = re.compile(r"[^\W_]{1,3}")
 _SIGNS = re.compile(r"[\W_]+")
 # Labels before a repeated question.
 _ECHO = re.compile(r"^(?:你的问题是|您的问题是|您问的是|你问的是|问题是|问题|题目|原题|问|提问|thequestionis|yourquestionis|yourquestionwas|youasked|question|prompt|q|重复一遍问题|答案|answer|答|a)+", re.I)
@@ -73,9 +74,10 @@ _COMMON = {
     "de": "der die das und ist nicht ein eine den dem des mit von zu im auf für sich auch als wird werden sie es er wir ihr hat war nach bei aus über wurden seit so was jede mich",
     "es": "el la los las de del un una y es en que se por con para su al lo como más pero sus le ya o fue este ha también entre después está son sobre qué no desde era cuál",
 }
-_LANGUAGE_OF = {w: {k for k, v in _COMMON.items() if w in v.split()} for v in _COMMON.values() for w in v.split()}
+_COMMON_SETS = {k: frozenset(v.split()) for k, v in _COMMON.items()}
 _WORDS = re.compile(r"[^\W\d_]+")
 _WIDE = re.compile("[㐀-鿿豈-﫿]")
+_WIDE_RUNS = re.compile("[㐀-鿿豈-﫿]+")
 _KANA = re.compile("[぀-ヿ]")
 _CODE = re.compile(r"```.*?(?:```|$)|~~~.*?(?:~~~|$)|`[^`\n]*`|\$[^$\n]*\$|https?://\S+", re.S)
 # Requests for another language, by the language asked for.
@@ -96,26 +98,26 @@ _DANGLING = re.compile(
 )
 
 _FINAL = "。！？.!?…"
-_TRAIL = re.compile("[\\s”’\"'」』）)\\]】》〉*_`\U0001F000-\U0001FAFF✀-➿️‍\U000E0000-\U000E007F]+$")
-_MARKED = re.compile("[。！？.!?…]$")
+# Closing signs, blanks and pictures that may follow a final mark.
+_TRAIL = "”’\"'」』）)]】》〉*_` \t\r\n\f\v\u3000\xa0\u200b\ufe0f\u200d" + "".join(map(chr, [*range(0x1F000, 0x1FB00), *range(0x2700, 0x27C0), *range(0xE0000, 0xE0080)]))
 
 
 def language(text: str) -> str | None:
     """zh, ja, en, fr, de or es, by script and common words; None if there is too little to tell."""
-    text = _CODE.sub(" ", text)
-    wide = len(_WIDE.findall(text))
-    words = [w.lower() for w in _WORDS.findall(text) if w[0] < "ɐ"]
-    letters = sum(len(w) for w in words if len(w) > 1)
+    if "`" in text or "~~~" in text or "$" in text or "http" in text:
+        text = _CODE.sub(" ", text)
+    wide = 0 if text.isascii() else sum(map(len, _WIDE_RUNS.findall(text)))
+    if wide > 8 and 3 * wide >= len(text):
+        return "ja" if len(_KANA.findall(text)) > wide else "zh"
+    words = [w for w in _WORDS.findall(text.lower()) if w[0] < "ɐ"]
+    letters = sum(map(len, words))
     if wide >= 3 and wide * 2 >= letters:
         return "ja" if len(_KANA.findall(text)) > wide else "zh"
     if letters < 8 or len(words) < 3:
         return None
-    votes = dict.fromkeys(_COMMON, 0)
-    for w in words:
-        for k in _LANGUAGE_OF.get(w, ()):
-            votes[k] += 1
-    best = max(votes, key=lambda k: votes[k])
-    return best if votes[best] >= max(1, len(words) // 25) and sorted(votes.values())[-2] < votes[best] else None
+    own = set(words)
+    votes = sorted(((len(own & common), k) for k, common in _COMMON_SETS.items()), reverse=True)
+    return votes[0][1] if votes[0][0] >= max(1, len(own) // 20) and votes[1][0] < votes[0][0] else None
 
 
 def asked_language(question: str) -> str | None:
@@ -155,6 +157,10 @@ def is_copy(question: str, answer: str) -> bool:
     """The answer is the question or its stem, once or more, at most with a label."""
     if len(answer) > 2.5 * len(question) + 40:
         return False
+    # whatever else it holds, a copy holds the question's first letters
+    head = _LETTERS.search(question)
+    if head is None or unicodedata.normalize("NFKC", head.group()).lower() not in unicodedata.normalize("NFKC", answer).lower():
+        return False
     q, a = plain(question), plain(answer)
     if len(a) < 6 or not q:
         return False
@@ -191,13 +197,14 @@ def is_refusal(answer: str) -> bool:
     return bool(match) and bool(_SELF_EN.search(head))
 
 
-_NUMBER = re.compile(r"\d+(\.\d+)?")
-_BLANKS = re.compile(r"\s+")
+_DECIMAL = re.compile(r"\d+\.\d+")
+_NUMBER = re.compile(r"\d+")
+_BLANKS = re.compile(r"\s{2,}|[^\S \x01\x02]")
 
 
 def context_form(text: str) -> str:
     """Text as contexts are counted: numbers by kind only, blanks alike."""
-    return _BLANKS.sub(" ", _NUMBER.sub(lambda m: "8" if m.group(1) else "0", text))
+    return _BLANKS.sub(" ", _NUMBER.sub("0", _DECIMAL.sub("\x03", text)))
 
 
 def _rolling(codes: np.ndarray, size: int) -> np.ndarray:
@@ -219,14 +226,24 @@ _FINAL_CODES = np.array([ord(c) for c in _FINAL] + [2], np.uint64)
 
 
 def answers_of(pairs: list | None) -> Iterator[tuple[int, str | None, str | None, bool]]:
-    """``(pair_no, question, answer, answered)`` of each user message."""
+    """``(pair_no, question, answer, answered)`` of each user message of ``(role, content)`` messages."""
     no = 0
-    for k, message in enumerate(pairs or ()):
-        if message is not None and message["role"] == "user":
+    for k, (role, content) in enumerate(pairs or ()):
+        if role == "user":
             no += 1
-            after = pairs[k + 1] if k + 1 < len(pairs) else None
-            answered = after is not None and after["role"] == "assistant"
-            yield no, message["content"], after["content"] if answered else None, answered
+            answered = k + 1 < len(pairs) and pairs[k + 1][0] == "assistant"
+            yield no, content, pairs[k + 1][1] if answered else None, answered
+
+
+def messages_of(column: pa.ListArray) -> Iterator[list]:
+    """The ``(role, content)`` messages of each row of an Arrow list of structs."""
+    flat = column.flatten()
+    both = list(zip(flat.field("role").to_pylist(), flat.field("content").to_pylist()))
+    ends = column.value_lengths().fill_null(0).to_pylist()
+    at = 0
+    for n in ends:
+        yield both[at : at + n]
+        at += n
 
 
 def tail_keys(answer: str) -> list[int] | None:
@@ -234,8 +251,8 @@ def tail_keys(answer: str) -> list[int] | None:
     stripped = answer.rstrip()
     if stripped.endswith(("```", "~~~")):
         return None
-    text = _TRAIL.sub("", answer)
-    if not text or _MARKED.search(text):
+    text = answer.rstrip(_TRAIL)
+    if not text or text[-1] in _FINAL:
         return None
     form = context_form(text[-80:])
     if len(text) < 80:
@@ -267,7 +284,7 @@ def count_contexts(df: DataFrame, wanted: DataFrame, pairs_column: str = "qa_pai
         have = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             # \x02 stands for an end without a mark, \x01 for the start
-            codes = _points("".join(f"\x01{context_form(_TRAIL.sub('', t))}\x02" for t in batch.column(0).to_pylist()))
+            codes = _points(context_form("".join([f"\x01{t.rstrip(_TRAIL)}\x02" for t in batch.column(0).to_pylist()])))
             keys, finals = [], []
             for size in CONTEXT_SIZES:
                 if len(codes) > size:
@@ -298,7 +315,7 @@ def defect_of(question: str | None, answer: str | None, answered: bool) -> str |
         wanted = asked_language(question)
         if wanted is None or (wanted not in ("?", own)):
             return "other_language"
-    if answer.count("```") % 2 or answer.count("~~~") % 2 or _DANGLING.search(answer.rstrip()):
+    if answer.count("```") % 2 or answer.count("~~~") % 2 or _DANGLING.search(answer.rstrip()[-24:]):
         return "truncated"
     return None
 
@@ -317,7 +334,7 @@ def defective_pairs(df: DataFrame, id_column: str = "qa_id", pairs_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, numbers, defects, tails = [], [], [], []
-            for k, pairs in enumerate(batch.column(1).to_pylist()):
+            for k, pairs in enumerate(messages_of(batch.column(1))):
                 for no, question, answer, answered in answers_of(pairs):
                     defect = defect_of(question, answer, answered)
                     keys = None if defect else tail_keys(answer)
