@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, level, markup, mojibake, pairs, sample, split
+from corpusloom.llm import encode, level, markup, mojibake, pairs, pii, sample, split
 from corpusloom.runtime import read_table
 
 #: Rows of the fixed-size sample.
@@ -38,6 +38,20 @@ def p5_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.sample_rows(read_table(spark, sf_dir, "qa_pairs"), "qa_id", SAMPLE_SIZE, order_by="arrived_at")
 
 
+def _personal_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = [read_table(spark, sf_dir, t).select(F.lit(t).alias("tbl"), "id", "text") for t in ("md_info", "all_transcripts")]
+    return tables[0].unionByName(tables[1])
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_items(_personal_texts(spark, sf_dir)).select("tbl", "id", "kind", "pii_text").distinct()
+
+
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _personal_texts(spark, sf_dir).dropDuplicates(["tbl", "id"])
+    return pii.redact(texts, pii.personal_items(texts)).select("tbl", "id", "redacted")
+
+
 def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = split.read_settings(read_table(spark, sf_dir, "split_settings"))
     once = read_table(spark, sf_dir, "md_info").select("id", "text").dropDuplicates(["id"])
@@ -63,7 +77,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
+    return {f.__name__: f for f in (p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p6_found, p6_redacted, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
