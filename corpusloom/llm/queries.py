@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, level, markup, mojibake, pairs, pii, sample, split
+from corpusloom.llm import encode, level, markup, mix, mojibake, pairs, pii, sample, split
 from corpusloom.runtime import read_table
 
 #: Rows of the fixed-size sample.
@@ -68,6 +68,14 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mixture(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.reached_shares(p9_mixture(spark, sf_dir), read_table(spark, sf_dir, "mix_targets"))
+
+
 def p10_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.repair_texts(read_table(spark, sf_dir, "documents"))
 
@@ -77,7 +85,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p6_found, p6_redacted, p7_pieces, p7_found, p8_ids, p10_repaired, p10_found)}
+    return {f.__name__: f for f in (p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p6_found, p6_redacted, p7_pieces, p7_found, p8_ids, p9_mixture, p9_shares, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
