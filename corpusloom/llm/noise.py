@@ -26,7 +26,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,9 @@ MAP_BITS = 22
 VECTOR = 32
 #: A frequent neighbour must be met this many times as often as the rare word, and this often at all.
 RATIO, FREQUENT = 10, 5
-#: Least agreement of an occurrence with the frequent word's vector.
+#: For characters in context, which scans misread in the same way again and again.
+RATIO_CHARACTERS = 4
+#: Least agreement of an occurrence with the frequent word's vector at the least odds.
 AGREEMENT = 0.05
 
 # Glyphs that are taken for one another, one class a group; the first stands for all.
@@ -53,7 +54,7 @@ _READ = (
     "场扬 枪抢 抢枪 转传 传转 域城 城域 惑感 栽裁 根很 很根 太大 大太 丸九 九丸 儿几 几儿 厂广 巳已 夫失 失夫 申由 且目 洒酒 茶荼 壬王 采来 来采 亳毫 茄茹 祟崇 戊成 戍成 析折 弟第 竟竞 竞竟 暧暖 段假 徽微 微徽 汨汩 籍藉 "
     "赢嬴 脑恼 底低 低底 代伐 侍待 待侍 钓钩 卯卵 孤狐 沽活 估佑 彼波 披被 复夏 夏复 旦且 刺剌 壮状 状壮 便使 使便 晓哓 淮准 胀涨 胜性 性姓 特持 持特 提堤 摸模 模摸 稍梢 植值 值植 铃玲 洁浩 贷货 货贷 帐账 诉拆 拆折 炎灸 抓爪 挡档"
 ).split()
-_PAIRS = ("白勺的", "禾口和", "女子好", "木目相", "日月明", "木木林", "王见现", "文寸对", "又寸对", "门日间", "车专转", "讠兑说", "木几机", "禾中种", "糸工红", "土也地")
+_PAIRS = ("白勺的", "力口加", "禾口和", "女子好", "木目相", "日月明", "木木林", "王见现", "文寸对", "又寸对", "门日间", "车专转", "讠兑说", "木几机", "禾中种", "糸工红", "土也地")
 _ZH_READ: dict[str, str] = {}
 for _a, _b in (x for x in _READ):
     _ZH_READ[_a] = _ZH_READ.get(_a, "") + _b
@@ -70,19 +71,29 @@ _PAGE_MARKED = re.compile(
 _PAGE_BARE = re.compile(rf"(?:{_NUM}|{_ROMAN})")
 _DIGITS = str.maketrans("lIO|o", "11010")
 _STRUCTURE = re.compile(r"^\s*(?:[#>|*+\\<`~={!;:$]|-\s|\d{1,3}[.、)]|[（(]\d{1,3}[)）]|\[\^)")
-_ENDED = re.compile(r"[。！？.!?：:；;”」』）)】…]\s*$")
+_END_SIGNS = frozenset("。！？.!?：:；;”」』）)】…")
+_WIDE_RUN = re.compile("[⺀-鿿豈-﫿＀-｠]+")
 _WIDE = re.compile("[⺀-鿿豈-﫿＀-｠]")
 _LETTERS = re.compile(r"[^\W\d_]")
-_TOKEN = re.compile(r"[A-Za-zſﬁﬂ0-9@!|]*[A-Za-zſﬁﬂ][A-Za-zſﬁﬂ0-9@!|]*")
+_THREE = re.compile("[A-Za-z]{3}")
+_ANY_WIDE = re.compile("[一-鿿]{2}")
+_TOKEN = re.compile(r"[a-zſﬁﬂ0-9@]+(?:[!|]+[a-zſﬁﬂ0-9@]+)*")
 _WORD_AT_END = re.compile(r"([A-Za-zſﬁﬂ0-9@!|]*[A-Za-zſﬁﬂ@][A-Za-zſﬁﬂ0-9@!|]*(?:[-‐][A-Za-z]+)*)([-‐¬\xad])\s*$")
+_HYPHENS = frozenset("-‐¬\xad")
 _WORD_AT_START = re.compile(r"\s*([a-zſﬁﬂ0-9@!|]*[a-zſﬁﬂ@!][a-zſﬁﬂ0-9@!|]*)")
+_NEAR_DIGIT = re.compile("[0-9.][lOZSbq]|[lOZSbq][0-9]")
 #: Signs that sentences have and titles have not.
 _PROSE = re.compile("[，。！？；、“”（）,.;!?%＝=]|^[\u3000 ]{2,}")
-_NUMBER_MISREAD = re.compile(r"(?<![A-Za-z0-9_.])(?:\d+[lO][\dlO]*|[lO][lO]?\d[\dlO]*)(?:\.\d+)?(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])\d+\.[\dlO]*[lO][\dlO]*(?![A-Za-z0-9_])")
+_NUMBER_MISREAD = re.compile(r"(?<![A-Za-z0-9_.])(?:\d+[lO][\dlO]*|[lO][lO]?\d[\dlO]*)(?:\.\d+)?(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])\d+\.[\dlO]*[lO][\dlO]*(?![A-Za-z0-9_])|(?<![A-Za-z0-9_.-])\d{1,3}(?:\.\d*)?[ZSbq](?![A-Za-z0-9_-])|(?<![A-Za-z0-9_.-])[ZSbq]\d{1,3}(?:\.\d+)?(?![A-Za-z0-9_-])")
 
 
 def width(line: str) -> int:
-    return len(line) + len(_WIDE.findall(line))
+    return len(line) if line.isascii() else len(line) + sum(map(len, _WIDE_RUN.findall(line)))
+
+
+def ended(line: str) -> bool:
+    """The line ends with a sentence or an announcement."""
+    return line.rstrip()[-1:] in _END_SIGNS
 
 
 def is_scanned(lines: list[str]) -> bool:
@@ -91,7 +102,7 @@ def is_scanned(lines: list[str]) -> bool:
     for a, b in zip(lines, lines[1:]):
         if len(a) < 12 or _STRUCTURE.match(a):
             continue
-        if b.strip() and not _ENDED.search(a) and not _STRUCTURE.match(b):
+        if b.strip() and not ended(a) and not _STRUCTURE.match(b):
             broken += 1
         elif len(a) > 90 and width(a) > 110:
             whole += 1
@@ -129,6 +140,16 @@ def _is_title(key: str) -> bool:
     return wide >= 4 or len(key) - wide >= 9
 
 
+def _alike(a: str, b: str) -> bool:
+    """Whether two titles differ in a few glyphs only."""
+    if abs(len(a) - len(b)) > 3:
+        return False
+    if len(a) == len(b):
+        return 4 * sum(x != y for x, y in zip(a, b)) <= len(a)
+    x, y = {a[i : i + 2] for i in range(len(a) - 1)}, {b[i : i + 2] for i in range(len(b) - 1)}
+    return 2 * len(x & y) >= max(len(x), len(y))
+
+
 def layout(text: str) -> tuple[list[str], dict[int, str]] | None:
     """Lines and the furniture among them (index: ``page_no`` or ``header``); None if not scanned."""
     lines = text.split("\n")
@@ -157,7 +178,7 @@ def layout(text: str) -> tuple[list[str], dict[int, str]] | None:
     groups: list[tuple[str, list[int]]] = []
     for k, key in short:
         for known, members in groups:
-            if known == key or (abs(len(known) - len(key)) <= max(2, len(key) // 3) and SequenceMatcher(None, known, key, autojunk=False).ratio() >= 0.75):
+            if known == key or _alike(known, key):
                 members.append(k)
                 break
         else:
@@ -250,25 +271,22 @@ def expansions(word: str) -> list[str]:
     return list(out)
 
 
-def tokens_of(line: str) -> list[str]:
-    """Words of a line in lower case; signs count as glyphs only inside a word."""
-    out = []
-    for w in _TOKEN.findall(line):
-        w = w.strip("!|").lower()
-        if len(w) > 1:
-            out.append(w)
-    return out
+def tokens_of(text: str) -> list[str]:
+    """Words in lower case; signs count as glyphs only inside a word."""
+    return [w for w in _TOKEN.findall(text.lower()) if not w.isdecimal()] if _THREE.search(text) else []
 
 
 def body_words(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str]]:
     """``(line index, word)`` of the body; a word split at a line end comes whole, once for each of its lines."""
     body = [k for k, line in enumerate(lines) if k not in noise and line.strip()]
+    if not any(_THREE.search(lines[k]) for k in body):
+        return
     carried: dict[int, str] = {}
     for k, after in zip(body, [*body[1:], None]):
         line = lines[k]
         if k in carried:
             line = _WORD_AT_START.sub(" ", line, count=1)
-        end = _WORD_AT_END.search(line)
+        end = _WORD_AT_END.search(line) if line.rstrip()[-1:] in _HYPHENS else None
         start = _WORD_AT_START.match(lines[after]) if end and after is not None else None
         if end and start:
             whole = (end.group(1) + start.group(1)).lower()
@@ -283,30 +301,60 @@ def _bit(word: str) -> int:
     return zlib.crc32(word.encode()) >> (32 - MAP_BITS)
 
 
+def _first_printed(m: re.Match) -> str:
+    return _ZH_TWO.get(m.group()) or _ZH_READ.get(m.group(), m.group())[0]
+
+
 def _contexts_zh(s: str, at: int, size: int) -> tuple[list[str], list[list[str]]]:
-    """Triples around the ``size`` characters at ``at`` as read, and the same as each printed form would give."""
+    """Contexts of the ``size`` characters at ``at`` as read, and the same as each printed form would give.
+
+    Windows of three characters that hold the place, for a pair also those of two; where
+    a neighbour is suspect itself, once more with the neighbours as they may be printed.
+    """
     read = s[at : at + size]
     printed = _ZH_TWO[read] if size == 2 else _ZH_READ[read]
     left, right = s[max(0, at - 2) : at], s[at + size : at + size + 2]
-    forms = [f"{left}{x}{right[:1]}" for x in (read, *printed)], [f"{left[-1:]}{x}{right}" for x in (read, *printed)], [f"{left[-1:]}{x}{right[:1]}" for x in (read, *printed)]
-    return [f[0] for f in forms], [list(f[1:]) for f in forms]
-
-
-def suspects_zh(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, list[str], list[list[str]]]]:
-    """Line index, contexts as read and as printed, of each character that may be a misreading."""
+    sides = [(left, right)]
+    other = (_SUSPECT.sub(_first_printed, s[max(0, at - 3) : at])[-2:], _SUSPECT.sub(_first_printed, s[at + size : at + size + 3])[:2])
+    if other != sides[0]:
+        sides.append(other)
+    forms: dict[str, list[str]] = {}
+    for a, b in sides:
+        windows = [(a, b[:0]), (a[-1:], b[:1]), ("", b)] + ([(a[-1:], ""), ("", b[:1])] if size == 2 else [])
+        for x, y in windows:
+            if len(x) + len(y) == 2 or (size == 2 and len(x) + len(y) == 1):
+                first, last = (left[len(left) - len(x) :], right[: len(y)])
+                forms.setdefault(first + read + last, []).extend(x + p + y for p in printed)
+    return list(forms), list(forms.values())
+
+
+def suspects_zh(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str]]:
+    """Line index and window of each character that may be a misreading.
+
+    A window has the characters before the place, two line feeds around it, and those behind.
+    """
     body = [k for k, line in enumerate(lines) if k not in noise and line.strip()]
     stripped = [lines[k].strip() for k in body]
     for i, k in enumerate(body):
         s = stripped[i]
-        before = stripped[i - 1][-2:] if i and not _ENDED.search(stripped[i - 1]) else ""
-        after = stripped[i + 1][:2] if i + 1 < len(body) and not _ENDED.search(s) else ""
+        before = stripped[i - 1][-3:] if i and not ended(stripped[i - 1]) else ""
+        after = stripped[i + 1][:3] if i + 1 < len(body) and not ended(s) else ""
         whole = before + s + after
-        for m in _SUSPECT.finditer(whole):
-            if len(before) <= m.start() < len(before) + len(s) and m.group() not in "丶丨":
-                yield (k, *_contexts_zh(whole, m.start(), len(m.group())))
+        low, high = len(before), len(before) + len(s)
+        for m in _SUSPECT.finditer(whole, low, min(len(whole), high + 1)):
+            a, b = m.span()
+            if a < high and whole[a] not in "丶丨":
+                yield k, f"{whole[max(0, a - 3) : a]}\n{whole[a:b]}\n{whole[b : b + 3]}"
 
 
-_KEYS = {n: np.uint64(0x9E3779B97F4A7C15 + 2 * n) for n in (3, 4, 5)}
+def window_keys(window: str) -> tuple[list[int], list[list[int]]]:
+    """Keys of the contexts of a window as read and as printed."""
+    left, read, right = window.split("\n")
+    keep, other = _contexts_zh(left + read + right, len(left), len(read))
+    return [_gram_key(g) for g in keep], [[_gram_key(g) for g in o] for o in other]
+
+
+_KEYS = {n: np.uint64(0x9E3779B97F4A7C15 + 2 * n) for n in (2, 3, 4)}
 _WHOLE = (1 << 64) - 1
 _grams: dict[str, int] = {}
 
@@ -339,7 +387,7 @@ def _hyphens(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str
     """Line index, mark, joined word and compound of each word that a line end may split."""
     body = [k for k, line in enumerate(lines) if k not in noise and line.strip()]
     for k, after in zip(body, [*body[1:], None]):
-        end = _WORD_AT_END.search(lines[k])
+        end = _WORD_AT_END.search(lines[k]) if lines[k].rstrip()[-1:] in _HYPHENS else None
         if not end:
             continue
         if after is None:
@@ -355,7 +403,6 @@ def _hyphens(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str
             yield k, end.group(2), "", ""
 
 
-_THREE = re.compile("[A-Za-z]{3}")
 _COMPOUND = re.compile(r"[A-Za-z]+(?:[-‐][A-Za-z]+)+")
 
 
@@ -371,6 +418,7 @@ def first_pass(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        windows: set[str] = set()
 
         def emit(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows)) or [[]] * 8
@@ -387,7 +435,7 @@ def first_pass(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
                     continue
                 lines, noise = page
                 rows += [("f", id_, k + 1, kind, None, None, None, None) for k, kind in noise.items()]
-                misread = {k for k, line in enumerate(lines) if k not in noise and ("l" in line or "O" in line) and _NUMBER_MISREAD.search(line)}
+                misread = {k for k, line in enumerate(lines) if k not in noise and _NEAR_DIGIT.search(line) and _NUMBER_MISREAD.search(line)}
                 rows += [("f", id_, k + 1, "misread", None, None, None, None) for k in misread]
                 for k, mark, joined, compound in _hyphens(lines, noise):
                     rows.append(("f", id_, k + 1, "hyphen", None, None, None, None) if mark in "¬\xad" else ("h", id_, k + 1, joined, compound, None, None, None))
@@ -395,8 +443,13 @@ def first_pass(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 for k, line in enumerate(lines):
                     if k not in noise and ("-" in line or "‐" in line):
                         counts.update(compounds_of(line))
-                for k, read, printed in suspects_zh(lines, noise):
-                    rows.append(("z", id_, k + 1, None, None, None, [_gram_key(g) for g in read], [[_gram_key(g) for g in p] for p in printed]))
+                for k, window in suspects_zh(lines, noise):
+                    rows.append(("z", id_, k + 1, window, None, None, None, None))
+                    if window not in windows:
+                        windows.add(window)
+                        rows.append(("y", None, None, window, None, None, *window_keys(window)))
+            if len(windows) > 300_000:
+                windows.clear()
             if len(counts) > 300_000:
                 rows += [("w", None, None, w, None, n, None, None) for w, n in counts.items()]
                 counts.clear()
@@ -425,7 +478,7 @@ def _bit_map(df: DataFrame, column: str) -> np.ndarray:
 
 
 def link_words(words: DataFrame) -> DataFrame:
-    """``(word, printed)``: rare words and the frequent neighbour that glyph edits lead to."""
+    """``(word, printed, odds)``: rare words and the frequent neighbour that glyph edits lead to."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -444,7 +497,7 @@ def link_words(words: DataFrame) -> DataFrame:
     frequent = plain.mapInArrow(keys, shape).where("own").select(F.col("word").alias("printed"), F.col("n").alias("often"), "key")
     rare = words.where(~F.col("word").contains("-")).mapInArrow(keys, shape).select("word", "n", "key").distinct()
     joined = rare.join(frequent, "key").where((F.col("word") != F.col("printed")) & (F.col("often") >= RATIO * F.col("n")))
-    return joined.groupBy("word").agg(F.max_by("printed", F.struct("often", "printed")).alias("printed"))
+    return joined.groupBy("word").agg(F.max_by(F.struct("printed", (F.col("often") / F.col("n")).alias("odds")), F.struct("often", "printed")).alias("best")).select("word", "best.*")
 
 
 def second_pass(df: DataFrame, id_column: str, text_column: str, words: np.ndarray, printed: np.ndarray, grams: np.ndarray) -> DataFrame:
@@ -481,7 +534,7 @@ def second_pass(df: DataFrame, id_column: str, text_column: str, words: np.ndarr
 
         def part(ids: list, texts: list[str]) -> list[tuple]:
             rows = []
-            codes = np.frombuffer("\0\0\0".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+            codes = np.frombuffer("\0\0\0".join(t for t in texts if _ANY_WIDE.search(t)).encode("utf-32-le", "surrogatepass"), np.uint32)
             # a line end inside a sentence is no border between characters
             wide = codes > 0x2E80
             inner = (codes == 10) & np.r_[False, wide[:-1]] & np.r_[wide[1:], False]
@@ -543,8 +596,8 @@ def page_noise(df: DataFrame, id_column: str = "id", text_column: str = "text")
     first = cut_lineage(first_pass(df, id_column, text_column))
     words = cut_lineage(first.where("kind = 'w'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n")))
     links = cut_lineage(link_words(words))
-    suspects = first.where("kind = 'z'")
-    asked = suspects.select(F.explode("keys").alias("key")).unionByName(suspects.select(F.explode(F.flatten("others")).alias("key"))).distinct()
+    windows = cut_lineage(first.where("kind = 'y'").groupBy(F.col("a").alias("window")).agg(F.first("keys").alias("keys"), F.first("others").alias("others")))
+    asked = windows.select(F.explode("keys").alias("key")).unionByName(windows.select(F.explode(F.flatten("others")).alias("key"))).distinct()
     second = cut_lineage(second_pass(df, id_column, text_column, _bit_map(links, "word"), _bit_map(links, "printed"), _bit_map(asked, "key")))
     # hyphens: the joined word against the compound
     hyphens = first.where("kind = 'h'").select("id", "line_no", F.col("a").alias("joined"), F.col("b").alias("compound"))
@@ -563,18 +616,21 @@ def page_noise(df: DataFrame, id_column: str = "id", text_column: str = "text")
     seen = second.where("kind = 'o'").select("id", "line_no", "word", F.col("v").cast("array<double>").alias("v")).join(links, "word").join(home, "printed", "left")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     agree = F.try_divide(dot(F.col("v"), F.col("home")), F.sqrt(dot(F.col("v"), F.col("v")) * dot(F.col("home"), F.col("home"))))
-    misread = seen.where(F.coalesce(agree, F.lit(1.0)) >= AGREEMENT).select("id", "line_no")
+    # signs inside a word are no spelling; the better the odds, the less the surroundings have to say
+    letters = F.col("word").rlike("^[a-zſﬁﬂ]+$")
+    enough = F.coalesce(agree, F.lit(1.0)) >= AGREEMENT - 0.15 * F.log10(F.col("odds") / RATIO)
+    misread = seen.where(enough | ~letters).select("id", "line_no")
     # misread characters: the triple as printed is far more frequent than as read
     grams = second.where("kind = 'g'").groupBy("key").agg(F.sum("n").alias("n"))
-    numbered = suspects.select(F.monotonically_increasing_id().alias("row"), "id", "line_no", "keys", "others")
-    numbered = cut_lineage(numbered)
-    long = numbered.select("row", F.posexplode("keys").alias("form", "key")).select("row", "form", F.lit(-1).alias("way"), "key").unionByName(
-        numbered.select("row", F.posexplode("others").alias("form", "o")).select("row", "form", F.posexplode("o").alias("way", "key"))
+    long = windows.select("window", F.posexplode("keys").alias("form", "key")).select("window", "form", F.lit(-1).alias("way"), "key").unionByName(
+        windows.select("window", F.posexplode("others").alias("form", "o")).select("window", "form", F.posexplode("o").alias("way", "key"))
     )
     known = long.join(grams, "key", "left").na.fill(0, ["n"])
-    scored = known.groupBy("row", "form").agg(F.max(F.when(F.col("way") < 0, F.col("n"))).alias("read"), F.max(F.when(F.col("way") >= 0, F.col("n"))).alias("printed"))
-    better = scored.groupBy("row").agg(F.max(((F.col("printed") >= FREQUENT) & (F.col("printed") >= RATIO * F.col("read"))).cast("int")).alias("ok")).where("ok = 1")
-    characters = numbered.join(better, "row", "left_semi").select("id", "line_no")
+    scored = known.groupBy("window", "form").agg(F.max(F.when(F.col("way") < 0, F.col("n"))).alias("read"), F.max(F.when(F.col("way") >= 0, F.col("n"))).alias("printed"))
+    speaks_for = (F.col("printed") >= FREQUENT) & (F.col("printed") >= RATIO_CHARACTERS * F.col("read"))
+    speaks_against = (F.col("read") >= RATIO * FREQUENT) & (F.col("read") >= RATIO * F.col("printed"))
+    wrong = scored.groupBy("window").agg(F.max(speaks_for.cast("int")).alias("ok"), F.max(speaks_against.cast("int")).alias("no")).where("ok = 1 AND no = 0")
+    characters = first.where("kind = 'z'").select("id", "line_no", F.col("a").alias("window")).join(wrong, "window", "left_semi").select("id", "line_no")
     found = union_all([
         first.where("kind = 'f'").select("id", "line_no", F.col("a").alias("noise")),
         split.select("id", "line_no", F.lit("hyphen").alias("noise")),
