@@ -1 +1 @@
-
+"""Column functions: patterns, text cleaning, paths, sizes and model replies."""
