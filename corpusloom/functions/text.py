@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,8 +91,7 @@ def clean_html(text: Column) -> Column:
     put together by a deletion) the names are gone through one by one, from the start.
     """
     once = _drop(text, P.HTML.java)
-    tags = F.array(*(F.lit(P.html_tag(t)) for t in P.HTML_TAGS))
-    one_by_one = F.aggregate(tags, text, lambda t, p: F.regexp_replace(t, p, F.lit("")))
+    one_by_one = reduce(lambda t, tag: _drop(t, P.html_tag(tag)), P.HTML_TAGS, text)
     return F.when(once.rlike(P.HTML.java), one_by_one).otherwise(once)
 
 

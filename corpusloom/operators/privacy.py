@@ -54,5 +54,5 @@ def pseudonymise(df: DataFrame, mapping: DataFrame, text_column: str = "text", l
     """
     if mapping.limit(limit + 1).count() > limit:
         raise ValueError(f"more than {limit} names; split the corpus or raise the limit")
-    folded = mapping.agg(F.sort_array(F.collect_list(F.struct("rn", "real", "fake"))).alias("__map"))
-    return df.crossJoin(F.broadcast(folded)).withColumn(text_column, replace_in_order(F.col(text_column), F.col("__map"))).drop("__map")
+    folded = mapping.agg(F.sort_array(F.collect_list(F.struct("rn", "real", "fake"))).alias("map"))
+    return df.withColumn("__map", folded.scalar()).withColumn(text_column, replace_in_order(F.col(text_column), F.col("__map"))).drop("__map")

@@ -20,10 +20,10 @@ def split_sets(df: DataFrame, key: str, train: float = 0.7, validation: float =
         raise ValueError("the shares must leave something to test on")
     hashed = df.withColumn("__hash", F.sha2(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))), 256))
     numbered = number_rows(hashed, ["__hash", key])
-    total = numbered.agg(F.count(F.lit(1)).alias("__total"))
-    share = (F.col("row_no") + 1) / F.col("__total")
+    total = numbered.agg(F.count(F.lit(1)).alias("total"))
+    share = (F.col("row_no") + 1) / total.scalar()
     part = F.when(share <= train, "train").when(share <= train + validation, "validation").otherwise("test")
-    return numbered.crossJoin(F.broadcast(total)).withColumn("part", part).drop("__hash", "row_no", "__total")
+    return numbered.withColumn("part", part).drop("__hash", "row_no")
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:

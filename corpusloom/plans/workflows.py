@@ -36,10 +36,8 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
 
 def _sql_of(spark: SparkSession, build: Callable, kind: str) -> str:
     """SQL text of a column over the parameter ``x``."""
-    sc = spark.sparkContext
-    column = build(F.col("x"))
-    expression = sc._jvm.org.apache.spark.sql.classic.ExpressionUtils.expression(column._jc)
-    return expression.sql()
+    plan = spark.sql(f"SELECT CAST(NULL AS {kind}) AS x").select(build(F.col("x")).alias("y"))._jdf.queryExecution().analyzed()
+    return plan.expressions().apply(0).child().sql()
 
 
 def document_workflow(records: DataFrame, options: CleanOptions | None = None) -> DataFrame:
