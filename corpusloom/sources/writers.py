@@ -31,13 +31,12 @@ def append_new(df: DataFrame, path: str, id_field: str = "id") -> int:
     there already is passed over.
     """
     spark = df.sparkSession
-    fresh = append_once(df, id_field)
+    fresh, before = append_once(df, id_field), 0
     try:
         done = spark.read.parquet(path).select(id_field)
-        fresh = resume(fresh, done, id_field)
+        fresh, before = resume(fresh, done, id_field), done.count()
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER" not in str(e):
             raise
-    before = 0
     fresh.write.mode("append").parquet(path)
     return spark.read.parquet(path).count() - before
