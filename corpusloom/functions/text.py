@@ -9,16 +9,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as P
 
-_STRIP = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in P.STRIP_CHARS) + "]"
-
-
 def _drop(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(""))
 
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at either end (a wider set than ``trim``)."""
-    return F.regexp_replace(text, F.lit(rf"\A{_STRIP}++|{_STRIP}++\z"), F.lit(""))
+    return F.btrim(text, F.lit(P.STRIP_CHARS))
 
 
 def letter_count(text: Column) -> Column:
@@ -28,9 +25,10 @@ def letter_count(text: Column) -> Column:
 
 def clean_markdown(text: Column) -> Column:
     """Images, links with their anchor text, and broken images deleted; stripped."""
+    cleaned = text
     for p in (P.IMAGE, P.ANCHOR, P.BROKEN_IMAGE):
-        text = _drop(text, p.java)
-    return strip(text)
+        cleaned = _drop(cleaned, p.java)
+    return strip(F.when(F.contains(text, F.lit("[")), cleaned).otherwise(text))
 
 
 def clean_email(text: Column) -> Column:
@@ -49,8 +47,10 @@ def clean_ipv4(text: Column) -> Column:
 
 def clean_ips(text: Column) -> Column:
     """IPv4, then IPv6 addresses deleted; stripped."""
-    v4 = F.when(F.contains(text, F.lit(".")), _drop(text, P.IPV4.java)).otherwise(text)
-    return strip(F.when(F.contains(text, F.lit("::")) | text.rlike("(?:[0-9a-fA-F]{1,4}:){7}"), _drop(v4, P.IPV6.java)).otherwise(v4))
+    # cheap tests first: three dots between digits, two colons side by side or seven groups
+    v4 = F.when(text.rlike(r"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]"), _drop(text, P.IPV4.java)).otherwise(text)
+    grouped = F.contains(text, F.lit("::")) | (F.contains(text, F.lit(":")) & text.rlike(":(?:[0-9a-fA-F]{1,4}:){6}"))
+    return strip(F.when(grouped, _drop(v4, P.IPV6.java)).otherwise(v4))
 
 
 def clean_control(text: Column) -> Column:
@@ -60,9 +60,9 @@ def clean_control(text: Column) -> Column:
 
 def clean_spaces(text: Column) -> Column:
     """Runs of spaces, of tabs, and mixed runs become one space, tab and line feed; stripped."""
-    for p, to in ((P.SPACES, " "), (P.TABS, "\t"), (P.MIXED, "\n")):
-        text = F.regexp_replace(text, F.lit(p.java), F.lit(to))
-    return strip(text)
+    for p, to in ((P.SPACES, " "), (P.TABS, "\t")):
+        text = F.when(F.contains(text, F.lit(to * 2)), F.regexp_replace(text, F.lit(p.java), F.lit(to))).otherwise(text)
+    return strip(F.regexp_replace(text, F.lit(P.MIXED.java), F.lit("\n")))
 
 
 def clip_to_end_mark(text: Column) -> Column:

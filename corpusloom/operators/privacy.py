@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import product
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +49,47 @@ def build_mapping(entities: DataFrame, pool: DataFrame) -> DataFrame:
 
 
 def pseudonymise(df: DataFrame, mapping: DataFrame, text_column: str = "text", limit: int = 5000) -> DataFrame:
-    """Text with every real name replaced by its fake one, longest first.
+    """Text with every real name replaced by its fake one, one name after another, longest first.
 
-    The mapping travels as one array to every row, so its size is checked: pools are
-    finite, and ``limit`` bounds them.
+    The mapping travels to every task, so its size is checked: pools are finite, and
+    ``limit`` bounds them. An automaton over all names finds those that a text has, so that
+    a text costs as much as it has names, not as there are names.
     """
-    if mapping.limit(limit + 1).count() > limit:
+    rows = mapping.orderBy("rn").select("real", "fake").limit(limit + 1).toPandas()
+    if len(rows) > limit:
         raise ValueError(f"more than {limit} names; split the corpus or raise the limit")
-    folded = mapping.agg(F.sort_array(F.collect_list(F.struct("rn", "real", "fake"))).alias("map"))
-    return df.withColumn("__map", folded.scalar()).withColumn(text_column, replace_in_order(F.col(text_column), F.col("__map"))).drop("__map")
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        folded = mapping.agg(F.sort_array(F.collect_list(F.struct("rn", "real", "fake"))).alias("map"))
+        return df.withColumn("__map", folded.scalar()).withColumn(text_column, replace_in_order(F.col(text_column), F.col("__map"))).drop("__map")
+    pairs = list(rows.itertuples(index=False, name=None))
+    shared = df.sparkSession.sparkContext.broadcast(pairs)
+    at = df.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        names = ahocorasick.Automaton()
+        for order, (real, _) in enumerate(shared.value):
+            names.add_word(real, order)
+        if shared.value:
+            names.make_automaton()
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            if shared.value:
+                texts = [t and rewrite(t, names, shared.value) for t in texts]
+            yield batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def rewrite(text: str, names, pairs: list[tuple[str, str]]) -> str:
+    """Replacements in order; a name that an earlier replacement brings about counts as well."""
+    done = -1
+    while True:
+        order = min((k for _, k in names.iter(text) if k > done), default=None)
+        if order is None:
+            return text
+        text = text.replace(*pairs[order])
+        done = order
