@@ -73,7 +73,7 @@ _GRAMMAR = (
     ("markdown", "link", r"!?\[[^\[\]\n]*\]\([^()\s]*(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\)|(?<=\S)\[[^\[\]\n]+\]\[[^\[\]\n]*\]"),
     ("markdown", "footnote", r"\[\^[\w-]{1,30}\]:?"),
     ("markdown", "reference", r"^[ \t]{0,3}\[[^\[\]\n]+\]:[ \t]+\S+"),
-    ("markdown", "table", r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$"),
+    ("markdown", "table", r"^[ \t]*\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)+\|?[ \t]*$"),
     ("markdown", "strong", r"(?<![*\\])(?P<s>\*{3}|\*{2})(?![\s*])[^*\n]{0,300}?(?<![\s*])(?P=s)(?!\*)|(?<![A-Za-z0-9_\\])(?P<w>___?)(?![\s_])[^_\n]{1,300}?(?<![\s_])(?P=w)(?![A-Za-z0-9_])|(?<!~)~~(?![\s~])[^~\n]{1,300}?(?<!\s)~~(?!~)"),
     ("markdown", "emphasis", r"(?<![A-Za-z0-9*\\])\*(?![\s*\d=])[^*\n]{1,200}?(?<![\s*=])\*(?![*\dA-Za-z])|(?<![A-Za-z0-9_\\}])_(?![\s_\d{])[^_\n]{1,200}?(?<![\s_])_(?![A-Za-z0-9_])"),
     ("shared", "heading", r"^[ \t]{0,3}#{1,6}(?![#\d!])[ \t]*(?=\S)"),

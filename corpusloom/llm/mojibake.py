@@ -187,12 +187,12 @@ class Repairer:
     def _layer(self, text: str) -> tuple[str, int]:
         """One layer undone wherever that lowers the cost; the number of stretches changed.
 
-        A codec pair that restores every candidate stretch is taken at once, else the one that gains most.
+        A codec pair after which no candidate is left is taken at once, else the one that gains most.
         """
         best: tuple[float, str, int] | None = None
         for spans, repair, margin in self._candidates(text):
             new, n, gain = self._apply(text, spans, repair, margin)
-            if n and n == len(spans):
+            if n and n == len(spans) and not _TWO_HIGH.search(new) and not self._wide_spans(new):
                 return new, n
             if n and (best is None or gain > best[0]):
                 best = (gain, new, n)

@@ -197,6 +197,7 @@ def is_refusal(answer: str) -> bool:
     return bool(match) and bool(_SELF_EN.search(head))
 
 
+_CUT_NUMBER = re.compile(r"[一-鿿]\d+\.$")
 _DECIMAL = re.compile(r"\d+\.\d+")
 _NUMBER = re.compile(r"\d+")
 _BLANKS = re.compile(r"\s{2,}|[^\S \x01\x02]")
@@ -252,7 +253,8 @@ def tail_keys(answer: str) -> list[int] | None:
     if stripped.endswith(("```", "~~~")):
         return None
     text = answer.rstrip(_TRAIL)
-    if not text or text[-1] in _FINAL:
+    # a point behind a number that follows a wide character is a decimal point, not a mark
+    if not text or (text[-1] in _FINAL and not _CUT_NUMBER.search(text[-16:])):
         return None
     form = context_form(text[-80:])
     if len(text) < 80:

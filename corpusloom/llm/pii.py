@@ -41,7 +41,7 @@ FAMILY_NAMES = (
 )
 _NAME_ZH = rf"(?:{'|'.join(COMPOUND_NAMES)}|[{FAMILY_NAMES}])[一-鿿]{{1,2}}"
 # What stands before and after Chinese full names.
-_LABEL_ZH = r"(?:联系人|负责人|教师|老师|姓名|学生|作者|家长|班主任|监护人|执笔|校对|审核|编写|主讲|讲师|主编|签名|签字|学员|教员|校长|主任|制表|填表人|收件人|记录人|经办人|报名人|同学)"
+_LABEL_ZH = r"(?:联系人|负责人|教师|老师|姓名|学生|作者|家长|班主任|监护人|执笔|校对|审核|审校|校验|撰稿|供稿|编者|编辑|编写|主讲|讲师|主编|签名|签字|学员|教员|校长|主任|制表|填表人|收件人|记录人|经办人|报名人|同学)"
 _TITLE_ZH = r"(?:老师|同学|先生|女士|校长|主任|教授|医生|家长|主编|博士|师傅)"
 _DIGIT_ZH = "零〇幺一二三四五六七八九两"
 _NUMBER_ZH = "零〇一二三四五六七八九十百两"
@@ -159,7 +159,7 @@ def _right(text: str, b: int) -> str:
 _ZH_CUED = re.compile(rf"(?:(?P<label>{_LABEL_ZH})[ 　]?[：:]?[ 　\n]?|(?P<cue>叫|由|有请|请|让|联系|是|找|问|向|给|和|与|及|、))(?P<name>{_NAME_ZH})")
 _ZH_TITLED = re.compile(rf"(?P<name>{_NAME_ZH})(?={_TITLE_ZH})")
 _ZH_FREE = re.compile(rf"(?:^|(?<=[\s，。；：、（(！？“”|>]))(?P<name>{_NAME_ZH})(?=[，,（(：:\s|]|(?:{_TITLE_ZH}))", re.M)
-_AFTER_NAME = re.compile(rf"[，,。．.；;、（(：:\s|<!！？]|$|{_TITLE_ZH}|今天|来回|整理|编|电话|住|手机|的|在|负责|同|说")
+_AFTER_NAME = re.compile(rf"[，,。．.；;、（(：:\s|<!！？]|$|{_TITLE_ZH}|今天|来回|整理|编|电话|住|手机|把|将|的|在|负责|同|说")
 
 
 def _trim_place(s: str) -> int:
@@ -322,7 +322,7 @@ def lower_names(texts: DataFrame, parts: np.ndarray) -> DataFrame:
                         hit = known[w] = len(w) > 2 and all(have[_part_bit(p)] for p in [w])
                     if hit and last is not None and text[last.end() : m.start()] == " ":
                         a, b = last.start(), m.end()
-                        rows.append((tbl, id_, "person", text[a:b], a, b, _left(text, a), _right(text, b), 0.6, False, "lower"))
+                        rows.append((tbl, id_, "person", text[a:b], a, b, _left(text, a), _right(text, b), 0.75, False, "lower"))
                         last = None
                     else:
                         last = m if hit else None
