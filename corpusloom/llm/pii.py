@@ -88,6 +88,9 @@ _ADDRESS_EN = re.compile(
     rf"(?:{_UNIT_EN},? )?(?:\d{{1,4}}[A-Za-z]?|{_WORD_NUMBER}(?:[ -](?:and )?{_WORD_NUMBER})*) (?:(?:St\.? )?[A-Z][A-Za-z'’-]* ){{1,3}}{_STREET}\b(?!['’])(?:, {_UNIT_EN}(?![A-Za-z]))?(?:, (?!(?:{_UNIT_EN}))(?:{_CAP})(?: {_CAP})?(?=[\s,.;:!?)]|$))?(?:,? [A-Z]{{1,2}}\d[A-Z\d]? ?\d[A-Z]{{2}}|,? [A-Z]{{2}} \d{{5}})?"
 )
 
+_HOUSE_ZH = re.compile(rf"[0-9０-９{_NUMBER_ZH}](?:号|弄)")
+_STREET_EN = re.compile(rf" {_STREET}\b")
+
 _ASCII = str.maketrans("０１２３４５６７８９Ｘ＋（）－", "0123456789X+()-")
 _SPOKEN = {c: str(d) for d, c in enumerate("零幺二三四五六七八九")} | {"〇": "0", "一": "1", "两": "2"}
 
@@ -151,12 +154,12 @@ def _right(text: str, b: int) -> str:
     if not s:
         return "$"
     if s[0] > "⺀":
-        return re.sub(r"\d+", "0", s[:2])
+        return s[0] + re.sub(r"[0-9０-９+＋(（]", "0", s[1:].lstrip(" 　")[:1])
     m = re.match(r"[^A-Za-z0-9\s]|[A-Za-z]+", s)
     return (m.group() if m else "0").lower()
 
 
-_ZH_CUED = re.compile(rf"(?:(?P<label>{_LABEL_ZH})[ 　]?[：:]?[ 　\n]?|(?P<cue>叫|由|有请|请|让|联系|是|找|问|向|给|和|与|及|、))(?P<name>{_NAME_ZH})")
+_ZH_CUED = re.compile(rf"(?:(?P<label>{_LABEL_ZH})[ 　]?[：:]?[ 　\n]?|(?P<cue>叫|由|有请|请|让|联系|是|找|问|向|给|和|与|及|、)\n?)(?P<name>{_NAME_ZH})")
 _ZH_TITLED = re.compile(rf"(?P<name>{_NAME_ZH})(?={_TITLE_ZH})")
 _ZH_FREE = re.compile(rf"(?:^|(?<=[\s，。；：、（(！？“”|>]))(?P<name>{_NAME_ZH})(?=[，,（(：:\s|]|(?:{_TITLE_ZH}))", re.M)
 _AFTER_NAME = re.compile(rf"[，,。．.；;、（(：:\s|<!！？]|$|{_TITLE_ZH}|今天|来回|整理|编|电话|住|手机|把|将|的|在|负责|同|说")
@@ -175,14 +178,27 @@ def _trim_place(s: str) -> int:
     return k
 
 
+def _around(text: str, anchor: re.Pattern, whole: re.Pattern, before: int, after: int) -> list[tuple[int, int]]:
+    """Matches of a costly pattern, looked for only around the places of a cheap one that it holds."""
+    out: list[tuple[int, int]] = []
+    for m in anchor.finditer(text):
+        if out and m.start() < out[-1][1]:
+            continue
+        low = max(out[-1][1] if out else 0, m.start() - before)
+        for found in whole.finditer(text, low, min(len(text), m.end() + after)):
+            if found.end() > m.start():
+                if found.start() < m.end():
+                    out.append(found.span())
+                break
+    return out
+
+
 def structured(text: str) -> list[tuple[int, int, str, float]]:
     """``(start, end, kind, prior)`` of candidates other than names."""
     out: list[tuple[int, int, str, float]] = []
     if _EMAIL_HINT.search(text):
         out += [(m.start(), m.end(), "email", 0.95) for m in _EMAIL.finditer(text)]
-    if "号" in text or "弄" in text:
-        for m in _ADDRESS_ZH.finditer(text):
-            out.append((m.start() + _trim_place(m.group()), m.end(), "address", 0.9))
+    out += [(a + _trim_place(text[a:b]), b, "address", 0.9) for a, b in _around(text, _HOUSE_ZH, _ADDRESS_ZH, 40, 30)]
     if _LONG_HINT.search(text):
         for m in _LONG.finditer(text):
             if len(m.group()) < 7:
@@ -206,9 +222,9 @@ def structured(text: str) -> list[tuple[int, int, str, float]]:
             out.append((m.start(), m.end(), "phone", 0.9))
         elif n in (7, 8, 10):
             out.append((m.start(), m.end(), "phone", 0.4))
-    if text.isascii() or " " in text:
+    if " " in text:
         out += [(m.start(), m.end(), "phone", 0.85) for m in _SPOKEN_EN.finditer(text)]
-        out += [(m.start(), m.end(), "address", 0.9) for m in _ADDRESS_EN.finditer(text)]
+        out += [(a, b, "address", 0.9) for a, b in _around(text, _STREET_EN, _ADDRESS_EN, 90, 70)]
     return out
 
 
@@ -292,7 +308,10 @@ def candidates(texts: DataFrame) -> DataFrame:
                 taken = structured(text)
                 rows += [(tbl, id_, kind, text[a:b], a, b, _left(text, a), _right(text, b), prior, prior >= 0.8, "") for a, b, kind, prior in taken]
                 covered = [(a, b) for a, b, kind, _ in taken if kind in ("address", "email")]
-                named = [(x, "zh") for x in names_zh(text)] + [(x, "en") for x in names_en(text)]
+                starts = {a for a, _, kind, _ in taken if kind in ("phone", "email", "id_number")}
+                # a name that an identifier follows stands in a list of contacts
+                led = [(a, b, x, max(p, 0.5) if starts & set(range(b + 1, b + 4)) else p, s) for a, b, x, p, s in names_zh(text)]
+                named = [(x, "zh") for x in led] + [(x, "en") for x in names_en(text)]
                 for (a, b, item, prior, seed), script in named:
                     if not any(a < e and s < b for s, e in covered):
                         rows.append((tbl, id_, "person", item, a, b, _left(text, a), _right(text, b), prior, seed, script))
