@@ -70,7 +70,8 @@ _PAGE_MARKED = re.compile(
 )
 _PAGE_BARE = re.compile(rf"(?:{_NUM}|{_ROMAN})")
 _DIGITS = str.maketrans("lIO|o", "11010")
-_STRUCTURE = re.compile(r"^\s*(?:[#>|*+\\<`~={!;:$]|-\s|\d{1,3}[.、)]|[（(]\d{1,3}[)）]|\[\^)")
+_PRINTED_DIGITS = str.maketrans("lIOoZSbq", "11002569")
+_STRUCTURE = re.compile(r"^\s*(?:[#>|*+\\<`~={!;:$]|-\s|\d{1,3}[.、)](?!\d)|[（(]\d{1,3}[)）]|\[\^)")
 _END_SIGNS = frozenset("。！？.!?：:；;”」』）)】…")
 _WIDE_RUN = re.compile("[⺀-鿿豈-﫿＀-｠]+")
 _WIDE = re.compile("[⺀-鿿豈-﫿＀-｠]")
@@ -207,8 +208,18 @@ def layout(text: str) -> tuple[list[str], dict[int, str]] | None:
             before = [chain[j] for j in range(i) if v - values[j][1] == 1 and k - values[j][0] >= 4 and j in chain]
             chain[i] = [*max(before, key=len, default=[]), k]
         run = max(chain.values(), key=len, default=[])
-        if len(run) >= 2:
-            for k in run:
+        # a number that parts a sentence is no datum
+        filled = [k for k, line in enumerate(lines) if line.strip()]
+        place = {k: i for i, k in enumerate(filled)}
+        apart = []
+        for k, _ in values:
+            i = place[k]
+            if 0 < i < len(filled) - 1:
+                above, below = lines[filled[i - 1]].strip(), lines[filled[i + 1]].strip()
+                if width(above) >= 0.7 * span and not ended(above) and not _PAGE_BARE.fullmatch(below) and filled[i - 1] not in {h for h, _ in short if h in headers}:
+                    apart.append(k)
+        if len(run) >= 2 or apart:
+            for k in {*(run if len(run) >= 2 else ()), *apart}:
                 noise[k] = "page_no"
         else:
             filled = [k for k, line in enumerate(lines) if line.strip()]
@@ -587,12 +598,8 @@ def second_pass(df: DataFrame, id_column: str, text_column: str, words: np.ndarr
     return source.mapInArrow(run, schema)
 
 
-def page_noise(df: DataFrame, id_column: str = "id", text_column: str = "text") -> DataFrame:
-    """Distinct ``(id, line_no, noise)``; lines are split at line feeds and counted from 1.
-
-    Null and empty texts have none; repeated rows count once; an empty table gives no rows;
-    other columns are not read. Three scans; words, keys and counts are shuffled, texts are not.
-    """
+def _analyse(df: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Found noise (id, line_no, noise), misread words (id, line_no, word, printed) and characters (id, line_no, window, printed)."""
     first = cut_lineage(first_pass(df, id_column, text_column))
     words = cut_lineage(first.where("kind = 'w'").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n")))
     links = cut_lineage(link_words(words))
@@ -619,22 +626,120 @@ def page_noise(df: DataFrame, id_column: str = "id", text_column: str = "text")
     # signs inside a word are no spelling; the better the odds, the less the surroundings have to say
     letters = F.col("word").rlike("^[a-zſﬁﬂ]+$")
     enough = F.coalesce(agree, F.lit(1.0)) >= AGREEMENT - 0.15 * F.log10(F.col("odds") / RATIO)
-    misread = seen.where(enough | ~letters).select("id", "line_no")
+    misread = seen.where(enough | ~letters).select("id", "line_no", "word", "printed")
     # misread characters: the triple as printed is far more frequent than as read
     grams = second.where("kind = 'g'").groupBy("key").agg(F.sum("n").alias("n"))
     long = windows.select("window", F.posexplode("keys").alias("form", "key")).select("window", "form", F.lit(-1).alias("way"), "key").unionByName(
         windows.select("window", F.posexplode("others").alias("form", "o")).select("window", "form", F.posexplode("o").alias("way", "key"))
     )
     known = long.join(grams, "key", "left").na.fill(0, ["n"])
-    scored = known.groupBy("window", "form").agg(F.max(F.when(F.col("way") < 0, F.col("n"))).alias("read"), F.max(F.when(F.col("way") >= 0, F.col("n"))).alias("printed"))
+    other = F.col("way") >= 0
+    scored = known.groupBy("window", "form").agg(F.max(F.when(~other, F.col("n"))).alias("read"), F.max(F.when(other, F.col("n"))).alias("printed"), F.max_by("way", F.when(other, F.col("n"))).alias("way"))
     speaks_for = (F.col("printed") >= FREQUENT) & (F.col("printed") >= RATIO_CHARACTERS * F.col("read"))
     speaks_against = (F.col("read") >= RATIO * FREQUENT) & (F.col("read") >= RATIO * F.col("printed"))
-    wrong = scored.groupBy("window").agg(F.max(speaks_for.cast("int")).alias("ok"), F.max(speaks_against.cast("int")).alias("no")).where("ok = 1 AND no = 0")
-    characters = first.where("kind = 'z'").select("id", "line_no", F.col("a").alias("window")).join(wrong, "window", "left_semi").select("id", "line_no")
+    way = F.max_by("way", F.when(speaks_for, F.col("printed")))
+    wrong = scored.groupBy("window").agg(F.max(speaks_for.cast("int")).alias("ok"), F.max(speaks_against.cast("int")).alias("no"), way.alias("way")).where("ok = 1 AND no = 0")
+    characters = first.where("kind = 'z'").select("id", "line_no", F.col("a").alias("window")).join(wrong.select("window", "way"), "window")
     found = union_all([
         first.where("kind = 'f'").select("id", "line_no", F.col("a").alias("noise")),
         split.select("id", "line_no", F.lit("hyphen").alias("noise")),
         misread.select("id", "line_no", F.lit("misread").alias("noise")),
         characters.select("id", "line_no", F.lit("misread").alias("noise")),
     ])
-    return found.distinct().withColumnRenamed("id", id_column)
+    return found.distinct(), misread, characters
+
+
+def page_noise(df: DataFrame, id_column: str = "id", text_column: str = "text") -> DataFrame:
+    """Distinct ``(id, line_no, noise)``; lines are split at line feeds and counted from 1.
+
+    Null and empty texts have none; repeated rows count once; an empty table gives no rows;
+    other columns are not read. Three scans; words, keys and counts are shuffled, texts are not.
+    """
+    return _analyse(df, id_column, text_column)[0].withColumnRenamed("id", id_column)
+
+
+def repair_text(text: str, noise: dict[int, set[str]], words: dict[str, str], windows: dict[str, int]) -> str:
+    """Text without furniture, split words joined, misread ones corrected, lines reflowed into paragraphs.
+
+    ``noise`` has the kinds found per line number, ``words`` corrections of words, ``windows`` the
+    chosen printed form of each window of a misread character. Lines that are no running text
+    (numbers, headings, items) stay lines of their own.
+    """
+    out: list[str] = []
+    open_ended = False
+    blank = hyphen = False
+    lines = text.split("\n")
+    for no, line in enumerate(lines, 1):
+        kinds = noise.get(no, set())
+        if kinds & {"page_no", "header"}:
+            continue
+        s = line.rstrip().rstrip("\u3000")
+        if not s:
+            blank = True
+            continue
+        indented = s[0] in "\u3000 " and s[:2].strip(" \u3000") == ""
+        body = s.strip(" \u3000")
+        short = width(body) < 24 and not ended(body) and not _PROSE.search(re.sub(r"\d+\.\d+", "0", body))
+        after = lines[no] if no < len(lines) else ""
+        own = bool(_STRUCTURE.match(body)) or (short and (bool(re.search(r"\d", body)) or not after.strip() or after[:1] in "\u3000 "))
+        # a sentence that runs on ignores the page break between
+        goes_on = open_ended and not indented and not (own and blank)
+        if out and goes_on:
+            before = out[-1]
+            if hyphen:
+                out[-1] = before[:-1] + body
+            elif before[-1:] in "-‐" and body[:1].islower():
+                out[-1] = before + body
+            elif _WIDE.match(before[-1]) or _WIDE.match(body[0]):
+                out[-1] = before + body
+            else:
+                out[-1] = f"{before} {body}"
+        elif out and not blank and not indented and not own and ended(out[-1]) and not _STRUCTURE.match(out[-1]):
+            joint = "" if _WIDE.match(out[-1][-1]) else " "
+            out[-1] = out[-1] + joint + body
+        else:
+            out.append(body)
+        blank = False
+        hyphen = "hyphen" in kinds
+        open_ended = hyphen or not (ended(body) or own)
+    whole = "\n\n".join(out)
+    for window, way in windows.items():
+        left, read, right = window.split("\n")
+        printed = _ZH_TWO[read] if len(read) == 2 else _ZH_READ[read]
+        whole = whole.replace(left + read + right, left + printed[way % len(printed)] + right)
+
+    def correct(m: re.Match) -> str:
+        got = words.get(m.group().lower())
+        if got is None:
+            return m.group()
+        return got.upper() if m.group().isupper() else got.capitalize() if m.group()[0].isupper() else got
+
+    whole = _NUMBER_MISREAD.sub(lambda m: m.group().translate(_PRINTED_DIGITS), whole)
+    return re.sub(_TOKEN.pattern, correct, whole, flags=re.I) if words else whole
+
+
+def repair_pages(df: DataFrame, id_column: str = "id", text_column: str = "text") -> DataFrame:
+    """One row per row with a text: the id, the repaired text, and whether it came from scanned pages.
+
+    Texts that are not scanned stay as they are; null texts have no row; repeated rows stay repeated.
+    """
+    found, words, characters = _analyse(df, id_column, text_column)
+    lines = found.groupBy("id").agg(F.collect_list(F.struct("line_no", "noise")).alias("lines"))
+    fixes = words.select("id", "word", "printed").distinct().groupBy("id").agg(F.collect_list(F.struct("word", "printed")).alias("words"))
+    glyphs = characters.select("id", "window", "way").distinct().groupBy("id").agg(F.collect_list(F.struct("window", "way")).alias("windows"))
+    source = df.select(df[id_column].cast("string").alias("id"), df[text_column].alias("t")).where(F.col("t").isNotNull())
+    joined = source.join(lines, "id", "left").join(fixes, "id", "left").join(glyphs, "id", "left").select("id", "t", "lines", "words", "windows")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, scanned = [], []
+            for text, lines, words, windows in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+                noise: dict[int, set[str]] = {}
+                for x in lines or ():
+                    noise.setdefault(x["line_no"], set()).add(x["noise"])
+                is_page = layout(text) is not None
+                made.append(repair_text(text, noise, {x["word"]: x["printed"] for x in words or ()}, {x["window"]: x["way"] for x in windows or ()}) if is_page else text)
+                scanned.append(is_page)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string()), pa.array(scanned, pa.bool_())], names=["id", "repaired", "scanned"])
+
+    return joined.mapInArrow(run, "id string, repaired string, scanned boolean").withColumnRenamed("id", id_column)

@@ -18,6 +18,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noise.page_noise(read_table(spark, sf_dir, "md_info"))
 
 
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return noise.repair_pages(read_table(spark, sf_dir, "md_info").select("id", "text").dropDuplicates(["id"]))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.markup_families(read_table(spark, sf_dir, "md_info"))
 
@@ -89,7 +93,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p6_found, p6_redacted, p7_pieces, p7_found, p8_ids, p9_mixture, p9_shares, p10_repaired, p10_found)}
+    return {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_clean, p3_found, p4_levels, p4_found, p5_sample, p6_found, p6_redacted, p7_pieces, p7_found, p8_ids, p9_mixture, p9_shares, p10_repaired, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:

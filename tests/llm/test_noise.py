@@ -32,6 +32,12 @@ def test_bare_numbers_count_on():
     assert [lines[k] for k, v in sorted(found.items()) if v == "page_no"] == ["97", "98"]
 
 
+def test_a_bare_number_parts_a_sentence():
+    text = page(ZH[:40]) + "\n\n55\n\n" + page(ZH[40:] + ZH)
+    lines, found = N.layout(text)
+    assert [lines[k] for k in found] == ["55"]
+
+
 def test_running_titles():
     text = "热传 导复习提纲\n" + page(ZH) + "\n- 3 -\n热传导复习提纲\n" + page(ZH) + "\n- 4 -\n5   热传导复习提纲\n" + page(ZH)
     lines, found = N.layout(text)
@@ -63,3 +69,14 @@ def test_noise_of_a_small_corpus(spark):
     assert {(n, k) for i, n, k in got if i == "s"} == {(1, "hyphen")}
     assert not any((i or "c").startswith(("c", "n", "e")) for i, _, _ in got)
     assert N.page_noise(df.limit(0)).count() == 0
+
+
+def test_repair(spark):
+    clean = [(f"c{k}", (ZH + EN) * 3) for k in range(30)]
+    dirty = "热传导复习提纲\n" + page((ZH * 2).replace("过程", "过稈", 1)[:60]) + "\n— 12 —\n\n热传导复习提纲\n" + page((ZH * 2)[60:] + ZH)
+    west = "The teacher asked the class to measure the time-\nline, and they soon found a good mcthod for the\nquestion.\n   The teacher asked the\nclass to measure the timeline."
+    df = spark.createDataFrame([*clean, ("d", dirty), ("w", west), ("n", None)], "id string, text string")
+    got = {r.id: r for r in N.repair_pages(df).collect()}
+    assert got["d"].scanned and got["d"].repaired == ZH * 3
+    assert got["w"].repaired == "The teacher asked the class to measure the timeline, and they soon found a good method for the question.\n\nThe teacher asked the class to measure the timeline."
+    assert got["c0"].repaired == clean[0][1] and not got["c0"].scanned and "n" not in got
