@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions import patterns as P
 from corpusloom.functions import text as T
 from corpusloom.operators import assets, dialogue, privacy, providers, quality, records
 from corpusloom.operators.clean import ANSWER_BOOK, ANSWER_SHEETS, CleanOptions, clean, drop_answer_sheets, keep_long
@@ -36,7 +35,6 @@ def _md(spark: SparkSession, d: str) -> DataFrame:
 # --- cleaners: md_info.text carries links, images, mail addresses, web links, circled numbers and tags of its own
 
 _IPV6 = " node 2001:db8:0:0:0:0:2:1f up, ::1 and 2001:db8:85a3::8a2e:370:7334 ."
-_JOINED = "concat('x', chr(0), chr(9), chr(13), chr(127), {t}, chr(133), 'y')"
 
 
 def _cleaner(name: str, spark_column: Callable[[Column], Column], sql_text: Callable[[str], str], source: Callable[[], Column] | None = None, sql_source: str = "text") -> None:
@@ -312,7 +310,6 @@ def qa_line(spark: SparkSession, d: str) -> DataFrame:
 
 # --- privacy
 
-_SCHOOL = privacy.SCHOOL_PATTERN
 
 
 def _entities(spark: SparkSession, d: str) -> DataFrame:
