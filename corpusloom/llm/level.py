@@ -40,6 +40,11 @@ _MARKS = re.compile(r"[^\w\s]|\n")
 _NOISE = re.compile("```.*?```|~~~.*?~~~|\\$\\$.*?\\$\\$|\\$[^$\\n]{1,80}\\$|<[^<>\\n]{1,200}>|https?://\\S+|\\\\[a-zA-Z]+|&[a-z#0-9]{2,8};|!?\\[[^\\]\\n]*\\]\\([^)\\n]*\\)|^[ \\t]*\\|.*$", re.S | re.M)
 
 
+def average(lengths: np.ndarray) -> float:
+    """Average sentence length without the shortest quarter: headings, labels and exclamations say little."""
+    return float(np.sort(lengths)[len(lengths) // 4 :].mean())
+
+
 def words_of(text: str) -> tuple[np.ndarray, bool, np.ndarray]:
     """Hashed words, whether the text is mainly in a script without spaces, and the lengths of its sentences.
 
@@ -78,15 +83,15 @@ class Scale:
         self.edges, self.limit, self.fits = {}, {}, {}
         for script in (True, False):
             own = [r for r in self.rows if r[1] == script] or self.rows
-            means = pd.Series([np.log(r[2].mean()) for r in own]).groupby([r[3] for r in own]).mean().sort_index()
+            means = pd.Series([np.log(average(r[2])) for r in own]).groupby([r[3] for r in own]).mean().sort_index()
             values = np.sort(means.to_numpy())
             self.edges[script] = (values[1:] + values[:-1]) / 2
-            self.limit[script] = UNMARKED * max(r[2].mean() for r in own)
+            self.limit[script] = UNMARKED * max(average(r[2]) for r in own)
 
     def length(self, script: bool, lengths: np.ndarray) -> float | None:
         """Average sentence length over stretches that are sentences; None if most of the text has no marks."""
         real = lengths[lengths <= self.limit[script]]
-        return float(real.mean()) if 2 * real.sum() >= lengths.sum() else None
+        return average(real) if 2 * real.sum() >= lengths.sum() else None
 
     def tier(self, script: bool, length: float) -> int:
         return min(TIERS - 1, int(np.searchsorted(self.edges[script], np.log(length))))
@@ -98,7 +103,7 @@ class Scale:
                 rows = self.rows if marked else self.bare
                 own = [r for r in rows if r[1] == script] or rows
                 bands = np.array([r[3] for r in own], float)
-                x = np.array([self.features(lists, r[0], r[1], r[2].mean() if marked else None) for r in own])
+                x = np.array([self.features(lists, r[0], r[1], average(r[2]) if marked else None) for r in own])
                 centre = x.mean(0)
                 # ridge regression; the small penalty only keeps collinear shares apart
                 a = x - centre

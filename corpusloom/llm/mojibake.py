@@ -90,10 +90,8 @@ _MISPLACED = re.compile("(?<=[a-z])(?:[À-ÖØ-ÞŒŠŽŸ¡-§©-¯±-¶¸-¿×
 _TWO_HIGH = re.compile("[\x80-\u2fff\ufb00-\ufb0f\uf8ff]{2}")
 _FOUR_HIGH = re.compile("[\x80-\u2fff\ufb00-\ufb0f\uf8ff]{4}")
 _UTF8_RUN = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){2,}")
-_UTF8_WIDE = re.compile(rb"(?:[\xe2-\xef][\x80-\xbf]{2}){2,}")
 _WIDE_RUN = re.compile("[^\x00-\x7f-ÿ]{3,}")
 _NOT_ASCII = re.compile("[^\x00-\x7f]")
-_LATIN_RUN = re.compile("[^\x00-\x7f]+")
 
 
 def _uncommon_table() -> np.ndarray:

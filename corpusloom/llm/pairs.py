@@ -69,7 +69,7 @@ _SELF_EN = re.compile(r"\b(?:I|me|my|we|this (?:request|question|topic)|that req
 
 # Commonest words of each language.
 _COMMON = {
-    "en": "the of and to in is that it was for on are with as be this have from or an by not but at which you they can when what there all will would if about we our should once more your before after i my",
+    "en": "the of and to in is that it was for on are with as be this have from or an by not but at which you they can when what there all will would if about we our should once more your before after i my why do does did how who whose please write explain describe say find give use using between into some any has had were their than then so no yes its also only each other many most",
     "fr": "le la les des de du un une et est à au aux en que qui dans pour sur pas plus ce cette il elle on nous vous se son sa ses avec sont par où peut été depuis très mais ou ne",
     "de": "der die das und ist nicht ein eine den dem des mit von zu im auf für sich auch als wird werden sie es er wir ihr hat war nach bei aus über wurden seit so was jede mich",
     "es": "el la los las de del un una y es en que se por con para su al lo como más pero sus le ya o fue este ha también entre después está son sobre qué no desde era cuál",
@@ -312,7 +312,9 @@ def defect_of(question: str | None, answer: str | None, answered: bool) -> str |
         return "copies_question"
     if is_refusal(answer):
         return "refusal"
-    asked, own = language(question), language(answer)
+    # plain Latin letters without any common word: a terse English question
+    terse = question.isascii() and len(_WORDS.findall(question)) >= 3
+    asked, own = language(question) or ("en" if terse else None), language(answer)
     if asked and own and own != asked:
         wanted = asked_language(question)
         if wanted is None or (wanted not in ("?", own)):

@@ -414,7 +414,7 @@ def personal_items(texts: DataFrame) -> DataFrame:
     en = people.where("script = 'en'").mapInArrow(known, _SCHEMA)
     lower = lower_names(texts, parts)
     zh_parts = scores.where("script = 'zh'").select("part", (F.col("good") / F.col("all")).alias("rate"), "good")
-    zh = people.where("script = 'zh'").withColumn("row", F.monotonically_increasing_id())
+    zh = people.where("script = 'zh'")
     given = F.expr("substring(item, IF(substring(item, 1, 2) IN ('" + "','".join(COMPOUND_NAMES) + "') AND length(item) > 2, 3, 2))")
     # the inventory of given characters is bounded by the script
     spelled = zh.select("item").distinct().select("item", F.explode(F.split(given, "")).alias("part")).where("part != ''")
