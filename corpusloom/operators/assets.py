@@ -14,9 +14,9 @@ from corpusloom.functions import text as T
 
 # Suffixes by class.
 FILE_CLASSES = {
-    "video": ".mp4 .avi .mov .mkv .wmv .flv .webm .mpeg .mpg .m4v .3gp".split(),
-    "audio": ".mp3 .wav .aac .flac .ogg .m4a .wma .alac .aiff .opus".split(),
-    "image": ".jpg .jpeg .png .gif .bmp .tiff .webp .svg .heic .ico".split(),
+    "video": ".mp4 .avi .mov .wmv .flv .mkv .webm .mpeg .mpg .3gp .m4v".split(),
+    "audio": ".mp3 .wav .aac .flac .ogg .m4a .wma .alac .ape .opus".split(),
+    "image": ".jpg .jpeg .png .bmp .tiff .webp .svg .gif .heic .raw".split(),
     "pdf": [".pdf"],
     "docx": [".docx"],
 }

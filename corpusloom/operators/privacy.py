@@ -13,10 +13,10 @@ from corpusloom.functions.text import replace_in_order
 from corpusloom.operators.dialogue import number_rows
 
 # Parts of invented names.
-SURNAMES = "赵 钱 孙 李 周 吴 郑 王 冯 陈 褚 卫 蒋 沈 韩 杨 朱 秦 尤 许".split()
-GIVEN = "伟 芳 娜 敏 静 丽 强 磊 军 洋".split()
-REGIONS = "阳光 希望 育才 明德 启航 新星 博文 青云 晨曦 远航".split()
-SCHOOL_TYPES = "小学 中学 第一中学 实验学校 外国语学校 职业学校 大学 学院".split()
+SURNAMES = "张 李 王 赵 刘 陈 杨 黄 吴 周 徐 孙 马 朱 胡 林 何 高 郭 罗".split()
+GIVEN = "一 二 三 四 五 六 七 八 九 十".split()
+REGIONS = "东城 西城 南山 北湖 中心 华阳 朝阳 海滨 绿洲 阳光".split()
+SCHOOL_TYPES = "小学 中学 小学分校 第一小学 第二中学 第三小学 实验小学 附属中学".split()
 #: Names of schools as the rule-based extractor knows them.
 SCHOOL_PATTERN = r"[一-鿿]{2,12}?(?:小学|中学|大学|学院|学校|幼儿园)"
 

@@ -58,9 +58,11 @@ def ask(df: DataFrame, make: Callable[[], Provider], input_column: str, reply_co
 
 
 # Vocabularies of the classification.
-GRADES = "一年级 二年级 三年级 四年级 五年级 六年级 七年级 八年级 九年级 高一 高二 高三 小学 初中 高中 大学".split()
-DISCIPLINES = "语文 数学 英语 物理 化学 生物 历史 地理 政治 信息技术 音乐 美术 体育 科学 道德与法治 通用技术 心理 其他".split()
-FILE_TYPES = "教案 试卷 课件 练习 导学案 教学设计 复习提纲 素材 论文 其他".split()
+GRADES = "一年级 二年级 三年级 四年级 五年级 六年级 初一 初二 初三 七年级 八年级 九年级 高一 高二 高三 其他".split()
+DISCIPLINES = "语文 数学 英语 自然与科学 音乐 美术 劳动技术 体育 思想政治 信息技术 物理 生物 政治 地理 化学 历史 通用技术 其他".split()
+FILE_TYPES = "教案 跨学科材料 练习卷 期末试卷（试题） 期末试卷（学生答卷） 期中试卷（试题） 期中试卷（学生答卷） 作业练习 作业卷 其他".split()
+#: First years of the school years that are known.
+SCHOOL_YEARS = range(2010, 2026)
 
 
 def grade_from_path(path: Column, vocabulary: list[str] = GRADES, default: str = "无") -> Column:
@@ -73,12 +75,13 @@ def grade_from_path(path: Column, vocabulary: list[str] = GRADES, default: str =
 
 
 def school_year_from_path(path: Column, default: str = "无") -> Column:
-    """``Y-(Y+1)学年`` from a path; a single year is completed."""
+    """``Y-(Y+1)学年`` from a path; a single year is completed, an unknown one is none."""
     text = F.coalesce(path, F.lit(""))
     first = F.regexp_extract(text, r"(20\d\d)(?:-20\d\d)?学年", 1)
     second = F.regexp_extract(text, r"20\d\d-(20\d\d)学年", 1)
     end = F.when(second != "", second).otherwise((F.try_to_number(first, F.lit("9999")) + 1).cast("int").cast("string"))
-    return F.when(first != "", F.concat(first, F.lit("-"), end, F.lit("学年"))).otherwise(F.lit(default))
+    year = F.concat(first, F.lit("-"), end, F.lit("学年"))
+    return F.when(year.isin(*(f"{y}-{y + 1}学年" for y in SCHOOL_YEARS)), year).otherwise(F.lit(default))
 
 
 def classify_document(path: Column, text: Column) -> dict[str, Column]:

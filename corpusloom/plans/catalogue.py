@@ -11,7 +11,9 @@ from corpusloom.functions import text as T
 from corpusloom.operators import assets, dialogue, privacy, providers, quality, records
 from corpusloom.operators.clean import ANSWER_BOOK, ANSWER_SHEETS, CleanOptions, clean, drop_answer_sheets, keep_long
 from corpusloom.plans import sql as S
-from corpusloom.runtime import read_table
+from corpusloom.runtime import read_table, scratch_path
+from corpusloom.sources import writers
+from corpusloom.streaming import clean as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -413,6 +415,38 @@ def archive_status_counts(spark: SparkSession, d: str) -> DataFrame:
     return assets.status_counts(read_table(spark, d, "source_archives").withColumn("status", F.coalesce("kind", F.lit("none"))))
 
 
+# --- sources, sinks and streams: written to the shared folder and read again
+
+
+@query(f"SELECT DISTINCT id, {S.clean_email('text')} AS text FROM md_info WHERE {S.letter_count('text')} >= 100")
+def stream_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaning chain over a stream of files, each id once."""
+    out = scratch_path(spark, "stream")
+    # as a pattern the table may be one file or a folder of files
+    stream = spark.readStream.schema(_md(spark, d).schema).parquet(f"{d}/md_info.parque[t]").select("id", "text")
+    streaming.start(streaming.clean_stream(stream, CleanOptions(email=True)), f"{out}/rows", f"{out}/log", once=True).awaitTermination()
+    return spark.read.schema("id string, text string").parquet(f"{out}/rows")
+
+
+@query("SELECT DISTINCT id, audio_id, text, error, archive_name AS src_file FROM all_transcripts")
+def jsonl_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Records written as JSON lines by source file and read again."""
+    out = scratch_path(spark, "jsonl")
+    df = read_table(spark, d, "all_transcripts").select("id", "audio_id", "text", "error", F.col("archive_name").alias("src_file")).distinct()
+    writers.write_by_source(df, out)
+    return spark.read.schema("id string, audio_id string, text string, error string, src_file string").json(out)
+
+
+@query("SELECT DISTINCT doc_id, source FROM documents")
+def append_once(spark: SparkSession, d: str) -> DataFrame:
+    """The same records appended twice to one output: each id is there once."""
+    out = scratch_path(spark, "append")
+    df = read_table(spark, d, "documents").select("doc_id", "source")
+    for _ in range(2):
+        writers.append_new(df, out, "doc_id")
+    return spark.read.parquet(out)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

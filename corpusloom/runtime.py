@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there."""
     ensure_checkpoint_dir(df.sparkSession)
