@@ -46,7 +46,7 @@ _FORMULA = r"(?![^$]*[A-Za-z]{2,} [a-z]+ [a-z]+)(?=[^$]*(?:\\[a-zA-Z,]|[\^_]|[A-
 
 #: (family, kind, pattern); ``shared`` marks belong to markdown or wiki, ``either`` to markdown or latex.
 _GRAMMAR = (
-    ("markdown", "fence", r"^[ \t]{0,3}(?P<f>```+|~~~+)[^`\n]*(?:\n(?:.*\n)*?[ \t]{0,3}(?P=f)[ \t]*$|\Z)"),
+    ("markdown", "fence", r"^[ \t]{0,3}(?P<f>```+|~~~+)[^`\n]*(?:\n(?:.*\n)*?[ \t]{0,3}(?P=f)[ \t]*$|(?s:.*)\Z)"),
     ("html", "code", r"(?i:<pre\b[^<>]*>)(?s:.*?)(?i:</pre\s*>)|(?i:<code\b[^<>]*>)(?s:.*?)(?i:</code\s*>)"),
     ("latex", "code", r"\\begin\{(?P<v>verbatim|lstlisting|minted)\*?\}(?s:.*?)\\end\{(?P=v)\*?\}"),
     ("markdown", "inline_code", r"(?P<t>`+)(?!`)[^`\n]+?(?<!`)(?P=t)(?!`)"),
@@ -192,7 +192,8 @@ def fold(stream: tuple[str, ...]) -> tuple[str, ...]:
                 out += unit[:1]
                 at += 1
         tokens = out
-    return tuple(tokens)
+    # a block of very many marks is known by its kinds alone
+    return tuple(tokens) if len(tokens) <= MAX_WRAPPER else tuple(dict.fromkeys(x for t in tokens for x in t.rstrip("?+").strip("()").split(" ")))
 
 
 def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[str, ...]:
@@ -377,7 +378,9 @@ def clean_markup(text: str, families: set[str] | None = None) -> str:
         elif kind == "autolink":
             new = mark[1:-1]
         elif kind == "display":
-            new = f"${mark.strip()[2:-2].strip()}$"
+            body = re.sub(r"^\\begin\{\w+\*?\}|\\end\{\w+\*?\}$", "", mark) if mark.startswith("\\begin") else mark[2:-2]
+            body = re.sub(r"\s*\\\\\s*\Z", "", body) if "\n" not in body.strip() else body
+            new = f"$${body}$$" if "\n" in body.strip() else f"${body.strip()}$"
         elif kind == "environment":
             inner = re.match(r"\\(begin|end)\{([a-zA-Z]+)", mark)
             new = "$" if inner.group(2) in ("equation", "align", "gather", "math", "displaymath", "eqnarray") else ""

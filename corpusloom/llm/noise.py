@@ -79,7 +79,9 @@ _LETTERS = re.compile(r"[^\W\d_]")
 _THREE = re.compile("[A-Za-z]{3}")
 _ANY_WIDE = re.compile("[一-鿿]{2}")
 _TOKEN = re.compile(r"[a-zſﬁﬂ0-9@]+(?:[!|]+[a-zſﬁﬂ0-9@]+)*")
-_WORD_AT_END = re.compile(r"([A-Za-zſﬁﬂ0-9@!|]*[A-Za-zſﬁﬂ@][A-Za-zſﬁﬂ0-9@!|]*(?:[-‐][A-Za-z]+)*)([-‐¬\xad])\s*$")
+_WORD_AT_END = re.compile(r"(?<![A-Za-zſﬁﬂ0-9@!|])((?=[0-9!|]*[A-Za-zſﬁﬂ@])[A-Za-zſﬁﬂ0-9@!|]+(?:[-‐][A-Za-z]+)*)([-‐¬\xad])$")
+#: Longest word; a longer run of letters is data, not spelling.
+LONGEST_WORD = 48
 _HYPHENS = frozenset("-‐¬\xad")
 _WORD_AT_START = re.compile(r"\s*([a-zſﬁﬂ0-9@!|]*[a-zſﬁﬂ@!][a-zſﬁﬂ0-9@!|]*)")
 _NEAR_DIGIT = re.compile("[0-9.][lOZSbq]|[lOZSbq][0-9]")
@@ -287,6 +289,16 @@ def tokens_of(text: str) -> list[str]:
     return [w for w in _TOKEN.findall(text.lower()) if not w.isdecimal()] if _THREE.search(text) else []
 
 
+def word_at_end(line: str) -> tuple[int, str, str] | None:
+    """Start, word and mark of what a line breaks off with; only the last word is looked at."""
+    s = line.rstrip()
+    if s[-1:] not in _HYPHENS:
+        return None
+    low = max(0, len(s) - 2 * LONGEST_WORD)
+    m = _WORD_AT_END.search(s, low)
+    return (m.start(), m.group(1), m.group(2)) if m else None
+
+
 def body_words(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str]]:
     """``(line index, word)`` of the body; a word split at a line end comes whole, once for each of its lines."""
     body = [k for k, line in enumerate(lines) if k not in noise and line.strip()]
@@ -297,13 +309,13 @@ def body_words(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, s
         line = lines[k]
         if k in carried:
             line = _WORD_AT_START.sub(" ", line, count=1)
-        end = _WORD_AT_END.search(line) if line.rstrip()[-1:] in _HYPHENS else None
+        end = word_at_end(line)
         start = _WORD_AT_START.match(lines[after]) if end and after is not None else None
         if end and start:
-            whole = (end.group(1) + start.group(1)).lower()
+            whole = (end[1] + start.group(1)).lower()
             yield k, whole
             carried[after] = whole
-            line = line[: end.start()]
+            line = line[: end[0]]
         for w in tokens_of(line):
             yield k, w
 
@@ -398,20 +410,21 @@ def _hyphens(lines: list[str], noise: dict[int, str]) -> Iterator[tuple[int, str
     """Line index, mark, joined word and compound of each word that a line end may split."""
     body = [k for k, line in enumerate(lines) if k not in noise and line.strip()]
     for k, after in zip(body, [*body[1:], None]):
-        end = _WORD_AT_END.search(lines[k]) if lines[k].rstrip()[-1:] in _HYPHENS else None
+        end = word_at_end(lines[k])
         if not end:
             continue
+        _, head, mark = end
         if after is None:
             # the text breaks off; only marks that compounds never have speak for themselves
-            if end.group(2) in "¬\xad":
-                yield k, end.group(2), "", ""
+            if mark in "¬\xad":
+                yield k, mark, "", ""
             continue
         start = _WORD_AT_START.match(lines[after])
         if start:
-            head, tail = end.group(1).lower(), start.group(1).strip("!|").lower()
-            yield k, end.group(2), re.split("[-‐]", head)[-1] + tail, f"{head.replace('‐', '-')}-{tail}"
-        elif end.group(2) in "¬\xad":
-            yield k, end.group(2), "", ""
+            head, tail = head.lower(), start.group(1).strip("!|").lower()
+            yield k, mark, re.split("[-‐]", head)[-1] + tail, f"{head.replace('‐', '-')}-{tail}"
+        elif mark in "¬\xad":
+            yield k, mark, "", ""
 
 
 _COMPOUND = re.compile(r"[A-Za-z]+(?:[-‐][A-Za-z]+)+")
@@ -504,6 +517,7 @@ def link_words(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(n, pa.int64()), pa.array(k, pa.string()), pa.array(own, pa.bool_())], names=["word", "n", "key", "own"])
 
     shape = "word string, n bigint, key string, own boolean"
+    words = words.where(F.length("word") <= LONGEST_WORD)
     plain = words.where(F.col("n") >= FREQUENT).where(F.col("word").rlike("^[a-z]+$"))
     frequent = plain.mapInArrow(keys, shape).where("own").select(F.col("word").alias("printed"), F.col("n").alias("often"), "key")
     rare = words.where(~F.col("word").contains("-")).mapInArrow(keys, shape).select("word", "n", "key").distinct()

@@ -56,5 +56,13 @@ def test_clean_text_keeps_structure():
     assert "$x^{2}$" in M.clean_markup("\\section{章}\n$x^{2}$ 为\\textbf{真}，96\\%")
     assert M.clean_markup("\\section{章}\n\\emph{a}") == "# 章\na"
     assert M.clean_markup("```py\nx = '**y**'\n```") == "```\nx = '**y**'\n```"
+    assert M.clean_markup("\\begin{align*}\na_1 \\\\\nb_2\n\\end{align*}") == "$$\na_1 \\\\\nb_2\n$$"
+    assert M.clean_markup("\\begin{equation}\nx^2\n\\end{equation}") == "$x^2$"
     assert M.clean_markup("5*3=15, a<b, $5") == "5*3=15, a<b, $5"
     assert M.clean_markup("") == ""
+
+
+def test_very_many_marks(spark):
+    rows = [("1", "h", "<b>x</b>$a^2$" * 5000), ("2", "h", "".join(f"<{t}>" for t in ("b", "i", "u", "p") * 3000)), ("3", "h", "*" * 50_000), ("4", "h", "```\nopen to the end"), ("5", "h", "[" * 20_000)]
+    df = spark.createDataFrame(rows, "id string, archive_name string, text string")
+    assert sorted((r.id, r.markup) for r in M.markup_families(df).collect() if r.id != "3") == [("1", "html"), ("1", "latex"), ("2", "html"), ("4", "markdown")]

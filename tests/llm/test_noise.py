@@ -71,6 +71,14 @@ def test_noise_of_a_small_corpus(spark):
     assert N.page_noise(df.limit(0)).count() == 0
 
 
+def test_very_long_runs(spark):
+    long = "x" * 60_000
+    texts = [f"{long} -\n{long}-\nabc {long}\n" * 2, long, ("ab " * 9 + "\n") * 3000, "字" * 60_000 + "\n" + "己" * 3000]
+    df = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "id string, text string")
+    assert N.page_noise(df).count() >= 0
+    assert N.word_at_end("in a hard-") == (5, "hard", "-") and N.word_at_end("no mark") is None
+
+
 def test_repair(spark):
     clean = [(f"c{k}", (ZH + EN) * 3) for k in range(30)]
     dirty = "热传导复习提纲\n" + page((ZH * 2).replace("过程", "过稈", 1)[:60]) + "\n— 12 —\n\n热传导复习提纲\n" + page((ZH * 2)[60:] + ZH)
