@@ -60,6 +60,8 @@ _cleaner("clip_to_punctuation", T.clip_to_end_mark, S.clip_to_end_mark)
 _cleaner("clean_circled", T.clean_circled, S.clean_circled)
 _cleaner("clean_filenames", T.clean_file_names, S.clean_file_names, lambda: F.concat(F.coalesce("text", F.lit("")), F.lit(" see report.pdf) and a.docx audio.wav b..wav x.tar.gz")), "concat(coalesce(text, ''), ' see report.pdf) and a.docx audio.wav b..wav x.tar.gz')")
 _cleaner("clean_symbol_runs", T.clean_symbol_runs, S.clean_symbol_runs, lambda: F.concat(F.substring(F.coalesce("text", F.lit("")), 1, 400), F.lit(" wow!!!!!!!!!! yes ======== a********(b !!!!!!!c")), "concat(substring(coalesce(text, ''), 1, 400), ' wow!!!!!!!!!! yes ======== a********(b !!!!!!!c')")
+# the SQL above looks at the first 400 characters; this one is over the whole texts
+_cleaner("clean_symbol_runs_whole", T.clean_symbol_runs, S.clean_symbol_runs, lambda: F.concat(F.coalesce("text", F.lit("")), F.lit(" wow!!!!!!!!!! yes ======== a********(b !!!!!!!c")), "concat(coalesce(text, ''), ' wow!!!!!!!!!! yes ======== a********(b !!!!!!!c')")
 _cleaner("clean_html_tags", T.clean_html, S.clean_html, lambda: F.concat(F.coalesce("text", F.lit("")), F.when(F.substring("id", 1, 1) == "0", "<<p>div>").otherwise(""), F.lit("</ p ><B>")), "concat(coalesce(text, ''), CASE substring(id, 1, 1) WHEN '0' THEN '<<p>div>' ELSE '' END, '</ p ><B>')")
 
 
