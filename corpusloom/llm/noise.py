@@ -153,6 +153,17 @@ def _alike(a: str, b: str) -> bool:
     return 2 * len(x & y) >= max(len(x), len(y))
 
 
+def _in_step(known: list[int], more: list[int]) -> bool:
+    """Whether lines recur at page distance among known titles: all steps are about one page or whole pages."""
+    at = sorted(known + more)
+    steps = [b - a for a, b in zip(at, at[1:])]
+    apart = sorted(b - a for a, b in zip(known, known[1:]))
+    page = min(steps)
+    if page < 8 or page < 0.3 * apart[len(apart) // 2]:
+        return False
+    return all(abs(step - round(step / page) * page) <= max(2.0, 0.12 * page) * round(step / page) for step in steps)
+
+
 def layout(text: str) -> tuple[list[str], dict[int, str]] | None:
     """Lines and the furniture among them (index: ``page_no`` or ``header``); None if not scanned."""
     lines = text.split("\n")
@@ -189,7 +200,11 @@ def layout(text: str) -> tuple[list[str], dict[int, str]] | None:
     best = max((g for g in groups), key=lambda g: (len(g[1]), -g[1][0]), default=None)
     headers: list[int] = []
     if best and len(best[1]) >= 2:
-        headers = best[1]
+        headers = list(best[1])
+        # pages may bear titles in turn: further groups that fall into the step of the pages
+        for _, members in sorted((g for g in groups if g is not best and len(g[1]) >= 2), key=lambda g: (-len(g[1]), g[1][0])):
+            if 2 * len(members) + 1 >= len(best[1]) and _in_step(headers, members):
+                headers = sorted(headers + members)
     # decorated page numbers: the record's commonest form; forms met once may be list numbers
     forms = Counter(re.sub(r"[0-9lIOo|]+", "0", lines[k].strip()) for k in marked)
     if forms:

@@ -44,6 +44,16 @@ def test_running_titles():
     assert sum(v == "header" for v in found.values()) == 3
 
 
+def test_running_titles_in_turn():
+    body = "".join(chr(0x4E00 + 97 * k % 8000) for k in range(2000))
+    parts = [page(body[k : k + 200] + "，") for k in range(0, 2000, 200)]
+    # a body line that recurs out of step is no title
+    parts[2], parts[5] = parts[2].replace("\n", "\n课堂小结与反思\n", 2), "课堂小结与反思\n" + parts[5]
+    text = "\n".join(("热传导复习提纲", "第五单元 勾股关系")[k % 2] + "\n" + p for k, p in enumerate(parts))
+    lines, found = N.layout(text)
+    assert sorted(lines[k] for k in found) == ["热传导复习提纲"] * 5 + ["第五单元 勾股关系"] * 5
+
+
 def test_unscanned_text_has_none():
     assert N.layout((ZH + "\n\n") * 5) is None
     assert N.layout("- a b c d e f g\n- h\n\n| 1 | 2 |\n|---|---|") is None
