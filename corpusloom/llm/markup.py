@@ -7,8 +7,8 @@ after another. Where two streams differ, differing text becomes a text slot,
 a mark that only one has becomes optional, and a stretch that recurs becomes a
 repeated group; the union-free expression that results is the host's wrapper for
 such blocks. A block's marks are markup where its host's wrapper takes the block
-apart, and the wrapper's constants say what its slots are (headings, items,
-cells, code, formulas), so the clean text keeps them recognisable.
+apart. The clean text goes by the marks and the families of the record itself, not
+by wrappers; headings, items, cells, code and formulas stay recognisable.
 
 What may be a constant at all is told by the grammars of the four families; they
 leave arithmetic, comparisons, prices, page numbers and code contents alone.
@@ -350,12 +350,16 @@ def _html_tag(tag: str) -> str:
 def clean_markup(text: str, families: set[str] | None = None) -> str:
     """Text without marks; headings, items, tables, code and formulas stay recognisable.
 
-    Headings start with ``#`` signs, items with ``-``, cells are parted by ``|``, code stays
+    A mark of two families is read by ``families``, those of the text's own marks if not given:
+    lines with ``#`` are items in wiki text, else headings. Headings start with ``#`` signs, items with ``-``, cells are parted by ``|``, code stays
     between lines of three backquotes and formulas between dollars. Everything else is unchanged.
     """
     out, at = [], 0
     in_table = False
-    for start, end, _family, kind in marks_of(text):
+    marks = marks_of(text)
+    if families is None:
+        families = {family for _, _, family, _ in marks}
+    for start, end, family, kind in marks:
         out.append(text[at:start])
         mark = text[start:end]
         new = mark
@@ -389,6 +393,9 @@ def clean_markup(text: str, families: set[str] | None = None) -> str:
         elif kind == "heading" and "=" in mark:
             level = len(mark.strip()) - len(mark.strip().lstrip("="))
             new = "#" * level + " " + mark.strip().strip("=").strip()
+        elif kind == "heading" and family == "shared" and "wiki" in families:
+            # signs beyond the first are deeper levels
+            new = "  " * (mark.strip().count("#") - 1) + "- "
         elif kind == "heading":
             new = mark.strip() + " "
         elif kind == "command":

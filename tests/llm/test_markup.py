@@ -62,6 +62,17 @@ def test_clean_text_keeps_structure():
     assert M.clean_markup("") == ""
 
 
+def test_shared_marks_follow_the_family():
+    assert M.clean_markup("text.\n# [[a]]\n## b\n\nmore ''c''") == "text.\n- a\n  - b\n\nmore c"
+    assert M.clean_markup("# a\n## **b**") == "# a\n## b"
+    assert M.clean_markup("# a", {"wiki"}) == "- a"
+
+
+def test_shared_marks_of_records(spark):
+    df = spark.createDataFrame([("1", "h", "# [[a]]\n# b"), ("2", "h", "# a\n\n**b**")], "id string, archive_name string, text string")
+    assert {r.id: r.clean_text for r in M.clean_records(df).collect()} == {"1": "- a\n- b", "2": "# a\n\nb"}
+
+
 def test_very_many_marks(spark):
     rows = [("1", "h", "<b>x</b>$a^2$" * 5000), ("2", "h", "".join(f"<{t}>" for t in ("b", "i", "u", "p") * 3000)), ("3", "h", "*" * 50_000), ("4", "h", "```\nopen to the end"), ("5", "h", "[" * 20_000)]
     df = spark.createDataFrame(rows, "id string, archive_name string, text string")
