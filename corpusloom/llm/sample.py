@@ -5,7 +5,9 @@ probability ``2**-level``; when it overflows, the level rises by one (the
 probability is halved) and the buffer is thinned at the new rate. Buffers that
 meet are brought to the higher of their levels first, then joined, and thinned
 again on overflow. The last buffer holds a Bernoulli sample of everything at one
-rate, at least as large as asked for; a uniform draw from it has the size asked.
+rate; a uniform draw from it has the size asked. A rate is not halved where less
+than the size asked would be left, so the last buffer is never too small for it;
+the level depends on the distinct keys alone, not on how they are parted.
 
 A record's coin is a hash of its key and the seed, so a record delivered twice
 has the same coins and counts once, a lost executor redoes the same draw, and
@@ -38,8 +40,8 @@ def _level_of(coins: np.ndarray) -> np.ndarray:
 class AdaptiveBernoulli:
     """A mergeable buffer of distinct keys with their coins and draws."""
 
-    def __init__(self, capacity: int, level: int = 0):
-        self.capacity, self.level = capacity, level
+    def __init__(self, capacity: int, level: int = 0, least: int = 0):
+        self.capacity, self.level, self.least = capacity, level, least
         self._parts: list[pd.DataFrame] = []
         self._held = 0
 
@@ -49,7 +51,7 @@ class AdaptiveBernoulli:
         of = _level_of(held["coin"].to_numpy())
         while True:
             keep = of >= self.level
-            if keep.sum() <= self.capacity or self.level >= 53:
+            if keep.sum() <= self.capacity or self.level >= 53 or (of > self.level).sum() < self.least:
                 break
             self.level += 1
         held = held[keep]
@@ -87,7 +89,7 @@ def sample_keys(df: DataFrame, key: str, k: int, *, seed: int = 42) -> DataFrame
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        buffer = AdaptiveBernoulli(capacity)
+        buffer = AdaptiveBernoulli(capacity, least=k)
         for batch in batches:
             buffer.add(batch.to_pandas())
         out = buffer.rows().assign(part=TaskContext.get().partitionId())
@@ -95,7 +97,7 @@ def sample_keys(df: DataFrame, key: str, k: int, *, seed: int = 42) -> DataFrame
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         # the highest level first: every part is thinned to it on arrival
-        buffer = AdaptiveBernoulli(capacity, int(pdf["level"].max()))
+        buffer = AdaptiveBernoulli(capacity, int(pdf["level"].max()), k)
         buffer.add(pdf[["key", "coin", "draw"]])
         return buffer.rows().assign(part=int(pdf["part"].iloc[0]) // FAN_IN)
 

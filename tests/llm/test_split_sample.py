@@ -75,6 +75,13 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert sets[0] == sets[1] == sets[2]
 
 
+def test_sample_just_above_the_capacity_is_whole(spark):
+    df = spark.range(6001).withColumnRenamed("id", "k")
+    for seed in range(4):
+        sets = [{r.k for r in sample.sample_keys(df.repartition(n), "k", 3000, seed=seed).collect()} for n in (1, 5)]
+        assert len(sets[0]) == 3000 and sets[0] == sets[1]
+
+
 def test_sample_is_uniform(spark):
     df = spark.range(200).withColumnRenamed("id", "k")
     hits = Counter(r.k for s in range(60) for r in sample.sample_keys(df, "k", 20, seed=s).collect())
