@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import product
 
 import pyarrow as pa
@@ -42,10 +42,21 @@ def distinct_entities(df: DataFrame, entities: Column) -> DataFrame:
     return df.select(F.explode(entities).alias("real")).where(F.length("real") > 0).distinct()
 
 
-def build_mapping(entities: DataFrame, pool: DataFrame) -> DataFrame:
-    """(real, fake, rn): the entities, longest first, paired with the pool by position."""
+def longer_person_names(rn: Column) -> Column:
+    """The invented name at a position beyond the pool: a surname and three or more given characters."""
+    k = rn - len(SURNAMES) * len(GIVEN) * (1 + len(GIVEN))
+    surname = F.element_at(F.array(*map(F.lit, SURNAMES)), (F.pmod(k, F.lit(len(SURNAMES))) + 1).cast("int"))
+    return F.concat(surname, F.translate(F.format_string("%03d", F.floor(k / len(SURNAMES))), "0123456789", "".join(GIVEN)))
+
+
+def build_mapping(entities: DataFrame, pool: DataFrame, beyond: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(real, fake, rn): the entities, longest first, paired with the pool by position.
+
+    Where the pool ends, ``beyond`` names by position; without it, more entities are an error.
+    """
     ranked = number_rows(entities.withColumn("__len", -F.length("real")), ["__len", "real"]).withColumnRenamed("row_no", "rn").drop("__len")
-    return ranked.join(pool, "rn")
+    rest = beyond(F.col("rn")) if beyond else F.raise_error(F.lit("more entities than names in the pool"))
+    return ranked.join(pool, "rn", "left").withColumn("fake", F.coalesce("fake", rest))
 
 
 def pseudonymise(df: DataFrame, mapping: DataFrame, text_column: str = "text", limit: int = 5000) -> DataFrame:

@@ -321,6 +321,10 @@ def _entities(spark: SparkSession, d: str) -> DataFrame:
     return privacy.distinct_entities(read_table(spark, d, "documents"), found)
 
 
+def _mapping(spark: SparkSession, d: str) -> DataFrame:
+    return privacy.build_mapping(_entities(spark, d), privacy.fake_person_names(spark, 2200), privacy.longer_person_names)
+
+
 _PLACES = "SELECT DISTINCT unnest(regexp_extract_all(text, '在([一-鿿]{2}(?:镇|县|村|乡))', 1)) AS real FROM documents"
 _POOL_SQL = f"SELECT s || g AS fake, row_number() OVER (ORDER BY k, i, j, l) - 1 AS rn FROM (SELECT s, i, j, 0 AS l, 0 AS k, g FROM (SELECT unnest({privacy.SURNAMES}) AS s, generate_subscripts({privacy.SURNAMES}, 1) AS i), (SELECT unnest({privacy.GIVEN}) AS g, generate_subscripts({privacy.GIVEN}, 1) AS j) UNION ALL SELECT s, i, j, l, 1, a || b FROM (SELECT unnest({privacy.SURNAMES}) AS s, generate_subscripts({privacy.SURNAMES}, 1) AS i), (SELECT unnest({privacy.GIVEN}) AS a, generate_subscripts({privacy.GIVEN}, 1) AS j), (SELECT unnest({privacy.GIVEN}) AS b, generate_subscripts({privacy.GIVEN}, 1) AS l))"
 
@@ -332,7 +336,7 @@ def entity_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH e AS ({_PLACES}), r AS (SELECT real, row_number() OVER (ORDER BY -length(real), real) - 1 AS rn FROM e), p AS ({_POOL_SQL}) SELECT r.real, p.fake, r.rn FROM r JOIN p ON r.rn = p.rn")
 def pseudonym_mapping(spark: SparkSession, d: str) -> DataFrame:
-    return privacy.build_mapping(_entities(spark, d), privacy.fake_person_names(spark, 2200)).select("real", "fake", "rn")
+    return _mapping(spark, d).select("real", "fake", "rn")
 
 
 @query(
@@ -340,8 +344,7 @@ def pseudonym_mapping(spark: SparkSession, d: str) -> DataFrame:
     "s AS (SELECT doc_id, text, 0::BIGINT AS step FROM documents UNION ALL SELECT s.doc_id, replace(s.text, k.real, k.fake), s.step + 1 FROM s JOIN k ON k.rn = s.step) SELECT doc_id, text FROM s, n WHERE s.step = n.top + 1"
 )
 def pseudonymise(spark: SparkSession, d: str) -> DataFrame:
-    mapping = privacy.build_mapping(_entities(spark, d), privacy.fake_person_names(spark, 2200))
-    return privacy.pseudonymise(read_table(spark, d, "documents").select("doc_id", "text"), mapping)
+    return privacy.pseudonymise(read_table(spark, d, "documents").select("doc_id", "text"), _mapping(spark, d))
 
 
 @query(f"SELECT fake, rn FROM ({_POOL_SQL}) WHERE rn < 500")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import assets, dialogue, privacy, providers, quality, records
+from corpusloom.plans import catalogue
 
 
 def test_conditions(spark):
@@ -77,6 +78,23 @@ def test_pseudonyms(spark):
     assert privacy.fake_person_names(spark, 2200).select("fake").distinct().count() == 2200
 
 
+def test_more_entities_than_names(spark):
+    names = spark.range(23_500).selectExpr("concat('n', id) AS real")
+    rows = privacy.build_mapping(names, privacy.fake_person_names(spark, 2200), privacy.longer_person_names).collect()
+    assert len({r.real for r in rows}) == len({r.fake for r in rows}) == 23_500
+    with pytest.raises(Exception, match="more entities than names"):
+        privacy.build_mapping(names.limit(12), privacy.fake_person_names(spark, 10)).collect()
+
+
+def test_more_places_than_names(spark, tmp_path):
+    chars = [chr(0x4E00 + k) for k in range(50)]
+    places = [a + b + "镇" for a in chars for b in chars][:2300]
+    spark.createDataFrame([(k, f"在{p}。") for k, p in enumerate(places)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert catalogue.queries()["pseudonym_mapping"](spark, str(tmp_path)).count() == 2300
+    got = [r.text for r in catalogue.queries()["pseudonymise"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) == 2300 and not any("镇" in t for t in got)
+
+
 def test_quality(spark):
     df = spark.createDataFrame([(k, k % 2, (k // 2) % 2) for k in range(40)], "id int, label int, p int")
     assert quality.sample_k(df, 100, "id").count() == 40
