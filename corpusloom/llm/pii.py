@@ -6,8 +6,10 @@ well-formed address, a family name). Seeds are candidates that stand behind an
 explicit label or whose form leaves no doubt. They induce lexical patterns: the
 text just before and just after. Spark scores the graph of patterns and instances
 in rounds: a pattern is as good as its instances, an instance as good as its
-prior and its best pattern. Patterns that score well carry candidates whose form
-alone would not do; patterns of look-alikes (sample and book numbers) sink theirs.
+prior and all its patterns, both by the number of records, so that a score rests
+on shares and not on the size of the corpus. Patterns that score well carry
+candidates whose form alone would not do; patterns of look-alikes (sample and book
+numbers) sink theirs.
 Names learn an inventory of name parts from the seeds; parts met again in other
 places, also in lower case, give new candidates and with them new patterns.
 
@@ -360,20 +362,21 @@ def part_scores(people: DataFrame) -> DataFrame:
 def score_graph(edges: DataFrame) -> DataFrame:
     """Instances with their scores after rounds over the graph of patterns and instances.
 
-    ``edges`` has kind, item, before, after, prior, n. A pattern is the pair of sides and
-    each side alone; its score is the mean score of its distinct instances, drawn to the
-    kind's mean where it has few.
+    ``edges`` has kind, item, before, after, prior, n (records). A pattern is the side before
+    and the pair of sides; its score is the mean score of the records of its instances, drawn
+    to a fixed mean where it has few. An instance has its prior and the mean of its patterns,
+    by its records in each: one good pattern among many poor ones does not carry a look-alike
+    that is met everywhere, however many good instances that pattern has.
     """
-    # each side and the pair; counted per distinct instance so that a record repeated often has no more say
-    nodes = edges.select("kind", "item", "prior", F.explode(F.array(F.concat_ws("\u0001", F.lit("b"), "before"), F.concat_ws("\u0001", F.lit("p"), "before", "after"))).alias("pattern"))
-    links = nodes.groupBy("kind", "item", "pattern").agg(F.max("prior").alias("prior"))
+    nodes = edges.select("kind", "item", "prior", "n", F.explode(F.array(F.concat_ws("\u0001", F.lit("b"), "before"), F.concat_ws("\u0001", F.lit("p"), "before", "after"))).alias("pattern"))
+    links = nodes.groupBy("kind", "item", "pattern").agg(F.max("prior").alias("prior"), F.sum("n").alias("n"))
     score = links.withColumn("score", F.col("prior"))
     for _ in range(ROUNDS):
-        patterns = score.groupBy("kind", "pattern").agg(((F.sum("score") + 0.6) / (F.count("*") + 2)).alias("trust"), F.count("*").alias("size"))
+        patterns = score.groupBy("kind", "pattern").agg(((F.sum(F.col("n") * F.col("score")) + 0.6) / (F.sum("n") + 2)).alias("trust"))
         told = links.join(patterns, ["kind", "pattern"])
-        # the best pattern of an instance and its prior agree on its score
-        best = told.groupBy("kind", "item").agg(F.max("prior").alias("own"), F.max("trust").alias("trust"))
-        again = best.select("kind", "item", (0.5 * F.col("own") + 0.5 * F.col("trust")).alias("score"))
+        # the patterns of an instance and its prior agree on its score
+        mean = told.groupBy("kind", "item").agg(F.max("prior").alias("own"), (F.sum(F.col("n") * F.col("trust")) / F.sum("n")).alias("trust"))
+        again = mean.select("kind", "item", (0.5 * F.col("own") + 0.5 * F.col("trust")).alias("score"))
         score = links.join(again, ["kind", "item"])
     return score.select("kind", "item", "score").distinct()
 
@@ -421,7 +424,8 @@ def personal_items(texts: DataFrame) -> DataFrame:
     fitness = spelled.join(F.broadcast(zh_parts), "part", "left").groupBy("item").agg(F.min(F.coalesce(F.when(F.col("good") >= 1, F.col("rate")), F.lit(0.0))).alias("fit"))
     zh = zh.join(fitness, "item").withColumn("prior", F.when(F.col("fit") >= 0.08, F.when(F.col("prior") >= 0.4, 0.9).otherwise(0.45)).when(F.col("fit") > 0.02, F.col("prior") + 0.1).when(F.col("seed"), 0.5).when(F.col("prior") >= 0.4, 0.12).otherwise(0.05)).select(*first.columns)
     everything = cut_lineage(union_all([first.where("kind != 'person'"), en, lower.select(*first.columns), zh]))
-    edges = everything.groupBy("kind", "item", "before", "after").agg(F.max("prior").alias("prior"))
+    # records and not rows, so that a record delivered often has no more say
+    edges = cut_lineage(everything.groupBy("kind", "item", "before", "after").agg(F.max("prior").alias("prior"), F.count_distinct(F.struct("tbl", "id")).alias("n")))
     good = score_graph(edges).where(F.col("score") >= ACCEPT)
     accepted = everything.join(good, ["kind", "item"]).select("tbl", "id", "kind", "item", "start", "end").distinct()
     # of readings of one place the one that begins first and goes farthest stands

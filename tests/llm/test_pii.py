@@ -47,6 +47,22 @@ def test_people_by_patterns(spark):
     assert redacted["t2"] is None and redacted["n"] == ""
 
 
+def grown(times):
+    """The corpus with ``times`` as many people, each met once, and a look-alike that stands now and then in their best context."""
+    family, given = "俞蒋卞贺颜骆", "星听予遥秋知"
+    people = [f"{family[k % 6]}{given[k // 6 % 6]}{given[k // 36 % 6]}" for k in range(20 * times)]
+    rows = [("md_info", f"p{k}", f"联系人：{p}，请提前预约。下午联系{p}老师整理。") for k, p in enumerate(people)]
+    rows += [("md_info", f"w{k}", f"{a}那么老师就讲下一题。") for k, a in enumerate(["下午联系", "按这个方法", "先看答案", "要是一样", "会了，", "有问题"] * 5)]
+    return people, rows
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_look_alikes_stay_out_however_large_the_corpus(spark, times):
+    people, rows = grown(times)
+    got = {r.pii_text for r in pii.personal_items(spark.createDataFrame(rows, "tbl string, id string, text string")).collect()}
+    assert got == set(people)
+
+
 def test_empty_table(spark):
     texts = spark.createDataFrame([], "tbl string, id string, text string")
     assert pii.personal_items(texts).count() == 0
