@@ -48,6 +48,19 @@ def test_unnamed_documents_join_by_their_text(spark):
     assert p[1] > 0.9
 
 
+def test_texts_of_named_documents_move_their_rates(spark):
+    maths, english = "数学题目与解答 " * 5, "english reading text " * 5
+    rows = [(k, maths if k % 2 else english, "a") for k in range(800)] + [(1000 + k, english, "b") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    mixed = mix.mixture(docs, targets)
+    got = {r.source: r for r in mix.reached_shares(mixed, targets).collect()}
+    assert abs(got["a"].share - 0.5) < 0.01 and abs(got["b"].share - 0.5) < 0.01 and got["b"].documents == 400
+    # half of a reads like b: only its other half brings a's tokens by text to their share
+    maths_tokens = sum(r.tokens for r in mixed.where("source = 'a' AND doc_id % 2 = 1").collect()) / got["a"].tokens
+    assert got["a"].most_copies == 1 and maths_tokens > 0.9
+
+
 def test_targets_are_checked(spark):
     bad = spark.createDataFrame([("a", 0.0, 1)], "source string, target_share double, max_repeats int")
     with pytest.raises(ValueError):
